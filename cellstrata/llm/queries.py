@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import license, quality, secretscan
 from .common import table
 
 
@@ -12,8 +12,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_secret_scans": op3_secret_scans,
     "op9_quality_rules": op9_quality_rules,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {}
