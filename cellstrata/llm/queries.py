@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license, quality, secretscan
+from . import license, mixing, quality, secretscan, sharding
 from .common import table
 
 
@@ -20,8 +20,18 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_secret_scans": op3_secret_scans,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scans": op10_license_scans,
 }
