@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license, mixing, quality, secretscan, sharding
+from . import decontam, license, mixing, quality, secretscan, sharding, simhash
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -29,7 +37,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_secret_scans": op3_secret_scans,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
