@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, license, mixing, quality, secretscan, sharding, simhash
+from . import decontam, htmlextract, license, mixing, quality, secretscan, sharding, simhash, tokencount
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(table(spark, sf_dir, "documents"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +28,10 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlextract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
@@ -37,8 +45,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_secret_scans": op3_secret_scans,
+    "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_sharding": op8_sharding,
