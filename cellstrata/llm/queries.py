@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, htmlextract, license, mixing, quality, secretscan, sharding, simhash, tokencount
+from . import decontam, htmlextract, license, mixing, quality, secretscan, sharding, simhash, suffixdedup, tokencount
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlextract.extract(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_secret_scans": op3_secret_scans,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_source_mixing": op7_source_mixing,
