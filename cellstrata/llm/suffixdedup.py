@@ -287,7 +287,7 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     by_sort = sent.where("not large").groupBy("anchor").applyInArrow(of_group, schema)
     strings = sent.where("large").mapInArrow(of_large, "anchor long, segment long, first int, offset int, string long, single boolean")
     again = strings.groupBy("anchor", "offset", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    by_hash = strings.where("single").join(again, ["anchor", "offset", "string"]).select("anchor", "segment", "first", F.col("first").alias("last"))
+    by_hash = strings.where("single").hint("merge").join(again, ["anchor", "offset", "string"]).select("anchor", "segment", "first", F.col("first").alias("last"))
     runs = whole.unionByName(by_sort).unionByName(by_hash)
     return found, runs
 
@@ -301,7 +301,7 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segm
     """doc_id, data and starts (first, last) of the repeated strings of each document, as many rows as docs."""
     texts = keyed(docs)
     found, runs = repeated_runs(texts, length, gram, group_segments)
-    spans = found.join(runs, ["anchor", "segment"]).select(
+    spans = found.join(runs.hint("merge"), ["anchor", "segment"]).select(
         "doc_id", "tid", F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")).alias("run")
     )
     own = spans.groupBy("doc_id", "tid").agg(F.collect_set("run").alias("runs")).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid"), "runs")
