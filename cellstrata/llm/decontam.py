@@ -181,23 +181,24 @@ def matches(text: str | None, index: Index, q: int = Q) -> list[tuple]:
     return [(k, *v) for k, v in sorted(found.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", q: int = Q, budget: float = BUDGET) -> DataFrame:
-    """key, item_id, edits, start, stop: one row for each document row and item found in it.
-
-    The items are broadcast in blocks of BLOCK_CHARS at most (longer only where
-    one hash part holds more); each block is sought in all documents.
-    """
-    session = docs.sparkSession
+def item_blocks(benchmark: DataFrame) -> list:
+    """The benchmark's rows as broadcasts of BLOCK_CHARS at most (longer only where one hash part holds more)."""
     size = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(size // BLOCK_CHARS) + 1
+    out = []
+    for number in range(blocks):
+        part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
+        out.append(benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in part.select("item_id", "text").collect()]))
+    return out
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", q: int = Q, budget: float = BUDGET) -> DataFrame:
+    """key, item_id, edits, start, stop: one row for each document row and item found in it. Each block of items is sought in all documents."""
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     id_type = dict(benchmark.dtypes)["item_id"]
     schema = f"key {dict(slim.dtypes)['key']}, item_id {id_type}, edits int, start long, stop long"
 
-    def of_block(number: int) -> DataFrame:
-        part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
-        rows = session.sparkContext.broadcast([tuple(r) for r in part.select("item_id", "text").collect()])
-
+    def of_block(rows) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = build(rows.value, q, budget)
             for batch in batches:
@@ -213,7 +214,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
         return slim.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, [of_block(b) for b in range(blocks)])
+    return reduce(DataFrame.unionByName, [of_block(rows) for rows in item_blocks(benchmark)])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = Q, budget: float = BUDGET) -> DataFrame:
+    """The documents in which no item is found, with all their columns and without a shuffle."""
+
+    def without(docs: DataFrame, rows) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = build(rows.value, q, budget)
+            for batch in batches:
+                yield batch.filter(pa.array([not matches(t.as_py(), index, q) for t in batch.column(text)], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return reduce(without, item_blocks(benchmark), docs)
 
 
 def batch_type(name: str) -> pa.DataType:

@@ -18,12 +18,16 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import with_offsets, word_count
+from .common import WORD_RUN, with_offsets, word_count
 
 BLOCK_WORDS = 64
 OUTPUT_SHARDS = 64
@@ -85,7 +89,7 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def slots(goals: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
-    """number, slot, shard, block and take (words of the block, from its start) of every slot of every source.
+    """number, slot, turn (the pass over the source), shard, block and take (words of the block, from its start) of every slot of every source.
 
     Runs of slots are expanded after they are dealt out, so no task makes all
     slots of a large source.
@@ -113,7 +117,7 @@ def slots(goals: DataFrame, block_words: int, shards: int, seed: int) -> DataFra
     left = F.col("due") - turn * F.col("size") - at * block_words
     shard = F.pmod(F.xxhash64(F.lit(seed), F.col("number"), F.col("slot")), F.lit(shards)).cast("int")
     return each.select(
-        "number", "slot", shard.alias("shard"), block_of("slot", "size", "blocks", "number").alias("block"),
+        "number", "slot", turn.cast("int").alias("turn"), shard.alias("shard"), block_of("slot", "size", "blocks", "number").alias("block"),
         F.least(left, F.lit(block_words)).cast("long").alias("take"),
     )
 
@@ -163,3 +167,56 @@ def digest(docs: DataFrame) -> DataFrame:
     return placed.join(taken, ["number", "offset"], "left").select(
         "doc_id", "size", "source_size", "target", F.when(own, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken")
     )
+
+
+def taken_text(text: str, pieces: list[tuple[int, int]]) -> str:
+    """The words of the pieces (first, stop), in order: the text itself if these are all, else its stretches joined by blanks."""
+    spans = [m.span() for m in re.finditer(WORD_RUN, text)]
+    runs: list[list[int]] = []
+    for first, stop in sorted(pieces):
+        if runs and runs[-1][1] == first:
+            runs[-1][1] = stop
+        else:
+            runs.append([first, stop])
+    if runs == [[0, len(spans)]]:
+        return text
+    return " ".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs)
+
+
+def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS, seed: int = SEED) -> DataFrame:
+    """The mix as documents: for each pass over its source, a document with the words taken of it, if any.
+
+    All columns stay; text becomes the words taken and n_chars, where there is
+    such a column, its length.
+    """
+    placed, draws = mixed(docs, block_words, shards, seed)
+    size = F.col("start") + F.col("block") * block_words - F.col("offset")
+    piece = F.struct(F.col("turn").alias("turn"), size.alias("first"), (size + F.col("words")).alias("stop"))
+    lists = draws.groupBy("number", "offset").agg(F.collect_list(piece).alias("pieces"))
+    own = placed.where("size > 0").join(lists, ["number", "offset"])
+    plans = own.groupBy("doc_id", "__text").agg(F.sort_array(F.collect_list(F.struct("number", "offset", "pieces"))).alias("copies"))
+    plans = plans.select(F.col("doc_id").alias("__id"), F.col("__text").alias("__plan"), "copies")
+    keyed = docs.withColumn("__hash", F.xxhash64("text"))
+    met = keyed.join(plans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__plan")))
+    copy = Window.partitionBy("doc_id", "__hash").orderBy("source")
+    ready = met.withColumn("__pieces", F.get("copies", F.row_number().over(copy) - 1)["pieces"]).where("__pieces is not null")
+    columns = docs.columns
+    at, counts = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            source, texts = [], []
+            for n, (text, pieces) in enumerate(zip(batch.column("text"), batch.column("__pieces"), strict=True)):
+                turns: dict[int, list[tuple[int, int]]] = {}
+                for p in pieces.as_py():
+                    turns.setdefault(p["turn"], []).append((p["first"], p["stop"]))
+                for turn in sorted(turns):
+                    source.append(n)
+                    texts.append(taken_text(text.as_py(), turns[turn]))
+            rows = batch.select(columns).take(pa.array(source, pa.int64()))
+            rows = rows.set_column(at, "text", pa.array(texts, rows.schema.field("text").type))
+            if counts is not None:
+                rows = rows.set_column(counts, "n_chars", pa.array([len(t) for t in texts]).cast(rows.schema.field("n_chars").type))
+            yield rows
+
+    return ready.select(*columns, "__pieces").mapInArrow(run, docs.schema)

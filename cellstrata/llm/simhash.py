@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
@@ -175,6 +175,20 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int
     return prints.join(known, prints["fp"] == known["__own"], "left").select("key", "fp", "component")
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One document of each group, that of the least key, with all its columns.
+
+    Rows that share a key count as one document. Null keys are told apart by the
+    text's hash and come after all others.
+    """
+    own = F.coalesce(F.col(key), F.lit(2**62) + F.pmod(F.xxhash64(text), F.lit(2**61)))
+    keyed = docs.withColumn("__key", own)
+    stay = groups(keyed, "__key", text, radius).where("key = component").select(F.col("key").alias("__stays")).distinct()
+    met = keyed.join(stay, F.col("__key") == F.col("__stays"))
+    first = Window.partitionBy("__key").orderBy(F.xxhash64(text))
+    return met.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     found = groups(docs)
     return found.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
