@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ORDER = 29
@@ -65,31 +65,33 @@ def gather(x: Column) -> Column:
     return x
 
 
-def healpix(lat, lon, order: int) -> Column:
-    """Nested cell of a point in degrees; null where a coordinate is null or NaN."""
-    lat, lon = _col(lat), _col(lon)
+def with_healpix(df: DataFrame, lat: str, lon: str, order: int, out: str = "cell") -> DataFrame:
+    """df with the nested cell of each point in degrees; null where a coordinate is null or NaN.
+
+    The formula is laid out over several projections, so that each step is worked
+    out once and the generated code stays small.
+    """
     nside = 1 << order
-    z = authalic_sine(lat)
-    turn = F.pmod(lon, F.lit(360.0)) / 90.0  # quarters of a circle
-    za = F.abs(z)
-    up = F.floor(nside * (0.5 + turn) - nside * z * 0.75).cast("long")
-    down = F.floor(nside * (0.5 + turn) + nside * z * 0.75).cast("long")
+    df = df.withColumns({"__z": authalic_sine(lat), "__turn": F.pmod(F.col(lon), F.lit(360.0)) / 90.0})  # quarters of a circle
+    z, turn = F.col("__z"), F.col("__turn")
+    df = df.withColumns({
+        "__up": F.floor(nside * (0.5 + turn) - nside * z * 0.75).cast("long"), "__down": F.floor(nside * (0.5 + turn) + nside * z * 0.75).cast("long"),
+        "__quarter": F.least(F.lit(3), F.floor(turn)).cast("long"), "__scale": nside * F.sqrt(F.greatest(3 * (1 - F.abs(z)), F.lit(0.0))),
+    })
+    part = turn - F.col("__quarter")
+    df = df.withColumns({n: F.least(F.floor(p * F.col("__scale")).cast("long"), F.lit(nside - 1)) for n, p in (("__p", part), ("__m", 1 - part))})
+    up, down, quarter, cap_p, cap_m = (F.col(c) for c in ("__up", "__down", "__quarter", "__p", "__m"))
     face_up, face_down = F.shiftright(up, order), F.shiftright(down, order)
     belt_face = F.when(face_up == face_down, face_up.bitwiseOR(F.lit(4))).when(face_up < face_down, face_up).otherwise(face_down + 8)
-    belt_x = down.bitwiseAND(F.lit(nside - 1))
-    belt_y = nside - 1 - up.bitwiseAND(F.lit(nside - 1))
-    quarter = F.least(F.lit(3), F.floor(turn)).cast("long")
-    part = turn - quarter
-    scale = nside * F.sqrt(F.greatest(3 * (1 - za), F.lit(0.0)))
-    cap_p = F.least(F.floor(part * scale).cast("long"), F.lit(nside - 1))
-    cap_m = F.least(F.floor((1 - part) * scale).cast("long"), F.lit(nside - 1))
-    north = z >= 0
-    belt = za <= 2.0 / 3.0
-    face = F.when(belt, belt_face).when(north, quarter).otherwise(quarter + 8)
-    x = F.when(belt, belt_x).when(north, nside - cap_m - 1).otherwise(cap_p)
-    y = F.when(belt, belt_y).when(north, nside - cap_p - 1).otherwise(cap_m)
-    cell = F.shiftleft(face.bitwiseAND(F.lit(15)), 2 * order) + spread(x) + 2 * spread(y)
-    return F.when(~F.isnan(lat) & ~F.isnan(lon), cell)
+    north, belt = z >= 0, F.abs(z) <= 2.0 / 3.0
+    df = df.withColumns({
+        "__face": F.when(belt, belt_face).when(north, quarter).otherwise(quarter + 8),
+        "__x": F.when(belt, down.bitwiseAND(F.lit(nside - 1))).when(north, nside - cap_m - 1).otherwise(cap_p),
+        "__y": F.when(belt, nside - 1 - up.bitwiseAND(F.lit(nside - 1))).when(north, nside - cap_p - 1).otherwise(cap_m),
+    })
+    cell = F.shiftleft(F.col("__face").bitwiseAND(F.lit(15)), 2 * order) + spread(F.col("__x")) + 2 * spread(F.col("__y"))
+    known = F.coalesce(~F.isnan(lat) & ~F.isnan(lon), F.lit(False))
+    return df.withColumn(out, F.when(known, cell)).drop("__z", "__turn", "__up", "__down", "__quarter", "__scale", "__p", "__m", "__face", "__x", "__y")
 
 
 def healpix_center(cell, order: int) -> tuple[Column, Column]:
@@ -197,8 +199,9 @@ class RectGrid:
         inside = (col >= 0) & (col < self.width) & (row >= 0) & (row < self.height)
         return F.when(inside, row * self.width + col).otherwise(F.lit(-1)).cast("long")
 
-    def assign(self, lat, lon) -> Column:
-        return self.cell(*project(self.crs, lat, lon))
+    def with_cell(self, df: DataFrame, lat: str, lon: str, out: str = "cell") -> DataFrame:
+        x, y = project(self.crs, lat, lon)
+        return df.withColumns({"__x": x, "__y": y}).withColumn(out, self.cell("__x", "__y")).drop("__x", "__y")
 
     def shard(self, cell) -> Column:
         cell = _col(cell)
@@ -223,8 +226,8 @@ class HealpixGrid:
     child_order: int
     chunk_order: int | None = None
 
-    def assign(self, lat, lon) -> Column:
-        return healpix(lat, lon, self.child_order)
+    def with_cell(self, df: DataFrame, lat: str, lon: str, out: str = "cell") -> DataFrame:
+        return with_healpix(df, lat, lon, self.child_order, out)
 
     def shard(self, cell) -> Column:
         return coarsen(cell, self.child_order - self.parent_order)

@@ -53,7 +53,12 @@ def merge(digests: list[np.ndarray], delta: float = 512) -> np.ndarray:
         return EMPTY
     if len(full) == 1:
         return full[0].astype(np.float32)
-    every = np.concatenate(full)
+    return merge_sorted(np.concatenate(full), delta)
+
+
+def merge_sorted(every: np.ndarray, delta: float = 512) -> np.ndarray:
+    """The digest of the centroids of several, put in order of mean and weight."""
+    every = np.asarray(every, np.float64)
     every = every[np.lexsort((every[:, 1], every[:, 0]))]
     return compress(every[:, 0], every[:, 1], delta)
 

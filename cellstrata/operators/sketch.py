@@ -8,30 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tdigest as td
 
 DIGEST = "array<struct<mean:float,weight:float>>"
-_ARROW = pa.list_(pa.struct([("mean", pa.float32()), ("weight", pa.float32())]))
-
-
-def _out(digests: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate([d.reshape(-1, 2) for d in digests]) if digests else td.EMPTY
-    ends = np.concatenate([[0], np.cumsum([len(d) for d in digests])]).astype(np.int32)
-    values = pa.StructArray.from_arrays([pa.array(flat[:, 0], pa.float32()), pa.array(flat[:, 1], pa.float32())], ["mean", "weight"])
-    return pa.ListArray.from_arrays(pa.array(ends), values).cast(_ARROW)
-
-
-def _arrays(column: pa.Array) -> list[np.ndarray]:
-    """Digests of a column of them."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten()
-    values = np.stack([flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False)], axis=1) if len(flat) else td.EMPTY
-    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 def build(df: DataFrame, keys: list[str], value: str, delta: float = 512, weight: str | None = None, where: Column | None = None, name: str = "digest") -> DataFrame:
@@ -56,17 +38,20 @@ def build(df: DataFrame, keys: list[str], value: str, delta: float = 512, weight
 
 def fold(df: DataFrame, keys: list[str], digest: str = "digest", delta: float = 512, name: str | None = None) -> DataFrame:
     """keys and the k-way merge of a group's digests; the same whatever the order or partitioning."""
-    lists = df.groupBy(*keys).agg(F.collect_list(digest).alias("__parts"))
+    own = F.when(F.size(digest) > 0, F.col(digest))  # empty ones don't count
+    lists = df.groupBy(*keys).agg(F.flatten(F.collect_list(own)).alias("__rows"), F.count(own).alias("__parts"))
+    split = lists.select(*keys, "__parts", F.transform("__rows", lambda r: r["mean"]).alias("__x"), F.transform("__rows", lambda r: r["weight"]).alias("__w"))
 
     @F.pandas_udf(DIGEST)
-    def kernel(groups: pd.Series) -> pd.Series:
+    def kernel(xs: pd.Series, ws: pd.Series, parts: pd.Series) -> pd.Series:
         out = []
-        for parts in groups:
-            merged = td.merge([np.array([(c["mean"], c["weight"]) for c in p]).reshape(-1, 2) for p in parts], delta)
+        for x, w, n in zip(xs, ws, parts, strict=True):
+            every = np.stack([x, w], axis=1)
+            merged = every if n <= 1 else td.merge_sorted(every, delta)
             out.append([{"mean": m, "weight": v} for m, v in merged.tolist()])
         return pd.Series(out)
 
-    return lists.select(*keys, kernel("__parts").alias(name or digest))
+    return split.select(*keys, kernel("__x", "__w", "__parts").alias(name or digest))
 
 
 def quantiles(df: DataFrame, digest: str, qs: dict[str, float]) -> DataFrame:
