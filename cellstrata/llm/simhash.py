@@ -102,6 +102,8 @@ def leading_bits(count: int) -> int:
 
 def _forest(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Links (owner, least owner of the same key) as rows, each once."""
+    if len(keys) < 2:
+        return np.empty((0, 2), np.uint64)
     order = np.argsort(keys)
     keys = keys[order]
     same = keys[1:] == keys[:-1]
