@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RUN, with_offsets, word_count
+from .common import WORD_RUN, cut_lineage, with_offsets, word_count
 
 BLOCK_WORDS = 64
 OUTPUT_SHARDS = 64
@@ -139,14 +139,15 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_
     A document is known by its source's number and its offset there. draws has
     one row for each piece of a document in each slot that takes of it.
     """
-    docs = sized(docs)
+    docs = cut_lineage(sized(docs))
     goals = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")))
     named = goals.withColumnRenamed("source", "__source")
     known = docs.join(F.broadcast(named) if _few(goals) else named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     order = [F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id"), F.col("__text"), F.col("size")]
     placed = with_offsets(known, "number", order, F.col("size"), "offset", BUCKETS)
     parts = pieces(placed.select("number", "size", "offset"), block_words).drop("size")
-    drawn = parts.join(slots(goals, block_words, shards, seed), ["number", "block"])
+    # Both sides are expanded from few rows, so their size is underrated: never broadcast.
+    drawn = parts.join(slots(goals, block_words, shards, seed).hint("merge"), ["number", "block"])
     words = F.least(F.col("stop"), F.col("take")) - F.col("start")
     return placed, drawn.withColumn("words", words.cast("long")).where(F.col("words") > 0)
 
