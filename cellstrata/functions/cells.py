@@ -37,9 +37,8 @@ def authalic_sine(lat) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _q(F.sin(F.radians(_col(lat)))) / _QP))
 
 
-def geodetic(sine: Column) -> Column:
-    """Geodetic latitude in degrees of the sine of an authalic latitude (Snyder's series)."""
-    b = F.asin(sine)
+def geodetic(b: Column) -> Column:
+    """Geodetic latitude in degrees of an authalic latitude in radians (Snyder's series)."""
     e4, e6 = _E2**2, _E2**3
     return F.degrees(
         b
@@ -49,20 +48,34 @@ def geodetic(sine: Column) -> Column:
     )
 
 
+#: A byte's bits at even places of a word, and the bits at even places of a byte next to each other.
+_SPREAD = [sum((v >> k & 1) << (2 * k) for k in range(8)) for v in range(256)]
+_GATHER = [sum((v >> (2 * k) & 1) << k for k in range(4)) for v in range(256)]
+
+
+def _by_byte(x: Column, values: list[int], count: int, width: int) -> Column:
+    """Bytes of x, looked up and set side by side; x stands in the expression once a byte."""
+    lookup = F.array(*[F.lit(v).cast("long") for v in values])
+    out = None
+    for k in range(count):
+        one = F.shiftleft(F.get(lookup, F.shiftright(x, 8 * k).bitwiseAND(F.lit(255)).cast("int")), width * k)
+        out = one if out is None else out.bitwiseOR(one)
+    return out
+
+
 def spread(x: Column) -> Column:
     """The bits of a number below 2**31 at even places."""
-    x = x.cast("long")
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
-    return x
+    return _by_byte(x.cast("long"), _SPREAD, 4, 16)
 
 
 def gather(x: Column) -> Column:
     """The bits at even places, next to each other."""
-    x = x.bitwiseAND(F.lit(0x5555555555555555))
-    for shift, mask in ((1, 0x3333333333333333), (2, 0x0F0F0F0F0F0F0F0F), (4, 0x00FF00FF00FF00FF), (8, 0x0000FFFF0000FFFF), (16, 0x00000000FFFFFFFF)):
-        x = x.bitwiseOR(F.shiftright(x, shift)).bitwiseAND(F.lit(mask))
-    return x
+    return _by_byte(x.cast("long"), _GATHER, 8, 4)
+
+
+def _apart(x: Column) -> Column:
+    """x, in a projection through which no filter moves: a filter on x would repeat the whole formula for each of its uses."""
+    return x + F.monotonically_increasing_id() * 0
 
 
 def with_healpix(df: DataFrame, lat: str, lon: str, order: int, out: str = "cell") -> DataFrame:
@@ -90,24 +103,24 @@ def with_healpix(df: DataFrame, lat: str, lon: str, order: int, out: str = "cell
         "__y": F.when(belt, nside - 1 - up.bitwiseAND(F.lit(nside - 1))).when(north, nside - cap_p - 1).otherwise(cap_m),
     })
     cell = F.shiftleft(F.col("__face").bitwiseAND(F.lit(15)), 2 * order) + spread(F.col("__x")) + 2 * spread(F.col("__y"))
-    known = F.coalesce(~F.isnan(lat) & ~F.isnan(lon), F.lit(False))
-    return df.withColumn(out, F.when(known, cell)).drop("__z", "__turn", "__up", "__down", "__quarter", "__scale", "__p", "__m", "__face", "__x", "__y")
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+    return df.withColumn(out, F.when(known, _apart(cell))).drop("__z", "__turn", "__up", "__down", "__quarter", "__scale", "__p", "__m", "__face", "__x", "__y")
 
 
-def healpix_center(cell, order: int) -> tuple[Column, Column]:
-    """Latitude and longitude (degrees, 0 to 360) of a cell's centre."""
-    cell = _col(cell)
+def with_center(df: DataFrame, cell: str, order: int, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """df with latitude and longitude (degrees, 0 to 360) of the centre of each nested cell, over several projections."""
     nside = 1 << order
-    face = F.shiftright(cell, 2 * order)
-    inner = cell.bitwiseAND(F.lit((1 << (2 * order)) - 1))
-    x, y = gather(inner), gather(F.shiftright(inner, 1))
-    ring = F.element_at(F.array(*[F.lit(v) for v in (2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4)]), (face + 1).cast("int")) * nside - x - y - 1
-    along = F.element_at(F.array(*[F.lit(v) for v in (1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7)]), (face + 1).cast("int"))
-    count = F.when(ring < nside, ring).when(ring > 3 * nside, 4 * nside - ring).otherwise(F.lit(nside)).cast("double")
+    inner = F.col(cell).bitwiseAND(F.lit((1 << (2 * order)) - 1))
+    df = df.withColumns({"__face": (F.shiftright(cell, 2 * order) + 1).cast("int"), "__x": gather(inner), "__y": gather(F.shiftright(inner, 1))})
+    rings, starts = (F.array(*[F.lit(v) for v in row]) for row in ((2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4), (1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7)))
+    x, y, ring = F.col("__x"), F.col("__y"), F.col("__ring")
+    df = df.withColumns({"__ring": F.element_at(rings, F.col("__face")) * nside - x - y - 1, "__start": F.element_at(starts, F.col("__face"))})
+    df = df.withColumn("__count", F.when(ring < nside, ring).when(ring > 3 * nside, 4 * nside - ring).otherwise(F.lit(nside)).cast("double"))
+    count = F.col("__count")
     cap = 1 - count * count / (3.0 * nside * nside)
-    z = F.when(ring < nside, cap).when(ring > 3 * nside, -cap).otherwise((2 * nside - ring) * 2 / (3.0 * nside))
-    lon = F.pmod(45.0 * (along * count + x - y) / count, F.lit(360.0))
-    return geodetic(z), lon
+    df = df.withColumn("__z", F.when(ring < nside, cap).when(ring > 3 * nside, -cap).otherwise((2 * nside - ring) * 2 / (3.0 * nside)))
+    df = df.withColumn(lon, F.pmod(45.0 * (F.col("__start") * count + x - y) / count, F.lit(360.0))).withColumn("__b", F.asin("__z"))
+    return df.withColumns({lat: _apart(geodetic(F.col("__b"))), lon: F.col(lon)}).drop("__face", "__x", "__y", "__ring", "__start", "__count", "__z", "__b")
 
 
 def coarsen(cell, levels: int) -> Column:
