@@ -64,7 +64,7 @@ def quantiles(df: DataFrame, digest: str, qs: dict[str, float]) -> DataFrame:
 
         return kernel
 
-    return df.withColumns({n: of(q)(digest) for n, q in qs.items()})
+    return df.withColumns({n: F.coalesce(of(q)(digest), F.lit(float("nan"))) for n, q in qs.items()})  # pandas hands NaN on as null
 
 
 def cdf_at(df: DataFrame, digest: str, value: str, name: str = "cdf") -> DataFrame:

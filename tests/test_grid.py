@@ -279,7 +279,7 @@ def test_catalog_pages(spark):
         def read(self, *a):
             return self.text
 
-    pages = iter(['{"features": [{"id": "a", "bbox": [0, 0, 1, 1], "properties": {"datetime": "2020-01-01T00:00:00Z"}}], "links": [{"rel": "next", "href": "u2"}]}', '{"features": [{"id": "b", "bbox": [2, 2, 3, 3], "properties": {"datetime": "2020-01-02T00:00:00Z"}}]}'])
+    pages = iter(['{"features": [{"id": "a", "bbox": [0, 0, 1, 1], "properties": {"datetime": "2020-01-01T00:00:00Z"}}], "links": [{"rel": "next", "href": "http://x.example/2"}]}', '{"features": [{"id": "b", "bbox": [2, 2, 3, 3], "properties": {"datetime": "2020-01-02T00:00:00Z"}}]}'])
     items = catalog.fetch_items("http://x.example", {}, lambda request: Reply(next(pages)))
     assert [r.id for r in catalog.from_items(spark, items).where(filters.in_boxes([(1.5, 1.5, 2.5, 2.5)])).collect()] == ["b"]
 
