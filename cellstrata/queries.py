@@ -202,17 +202,17 @@ def _agg(name: str, function: str, sql: str, source: str = "l_extendedprice", **
     def run(spark, sf_dir):
         dtype = "int64" if function in ("len", "count", "count_distinct", "unique_or_zero") else "float64"
         found = aggregate.by_cell(celled(spark, sf_dir), [Field("value", function, source, params=params, dtype=dtype, fill=0)], ["cell"])
-        return rounded(found, 4)
+        return rounded(found, 7)
 
 
 _agg("agg_01_count", "len", "count(*)")
 for _name, _function, _sql in (("agg_02_min", "min", "min"), ("agg_02_max", "max", "max"), ("agg_04_sum", "sum", "sum"), ("agg_05_mean", "mean", "avg"), ("agg_08_std", "std", "stddev_pop"), ("agg_09_median", "median", "median")):
-    _agg(_name, _function, f"round({_sql}(l_extendedprice), 4)")
+    _agg(_name, _function, f"round({_sql}(l_extendedprice), 7)")
 for _name, _function, _sql in (("agg_03_nanmin", "nanmin", "min"), ("agg_03_nanmax", "nanmax", "max"), ("agg_04_nansum", "nansum", "sum")):
-    _agg(_name, _function, f"round({_sql}(l_quantity), 4)", "l_quantity")
-_agg("agg_06_weighted_mean", "average", "round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4)", weights="l_quantity")
-_agg("agg_07_var", "var", "round(var_pop(l_quantity), 4)", "l_quantity")
-_agg("agg_10_quantile", "quantile", "round(quantile_cont(l_extendedprice, 0.9), 4)", q=0.9)
+    _agg(_name, _function, f"round({_sql}(l_quantity), 7)", "l_quantity")
+_agg("agg_06_weighted_mean", "average", "round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 7)", weights="l_quantity")
+_agg("agg_07_var", "var", "round(var_pop(l_quantity), 7)", "l_quantity")
+_agg("agg_10_quantile", "quantile", "round(quantile_cont(l_extendedprice, 0.9), 7)", q=0.9)
 _agg("agg_19_distinct_records", "count_distinct", "count(DISTINCT l_orderkey)", "l_orderkey")
 _agg("agg_20_unique_or_zero", "unique_or_zero", "CASE WHEN min(l_orderkey) = max(l_orderkey) THEN min(l_orderkey) ELSE 0 END", "l_orderkey")
 
