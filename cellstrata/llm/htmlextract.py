@@ -9,11 +9,14 @@ texts that differ become slots. Alignment of wrappers is again a wrapper, so a
 partition aligns its pages, and partial wrappers of a host are aligned in
 rounds of a fixed fan-in, whatever the host's size.
 
-The wrapper then tells which slots are the article: those under the host's
-article or main element, else under the element with the most running text that
-differs between pages; in either case without menus, headers, footers, sides,
-notices, adverts, forms and comments, known by element and class names. Every
-page is read once more and its blocks under these slots are joined.
+Each page's text is that under its own article element, else under its main
+element, without menus, footers, sides, notices, adverts, forms and comments,
+known by element and by whole class, id and role names; inside an article, a
+name counts only if all names of that attribute do. Names of what encloses an
+article only count against other article or main elements of the page. For pages
+with neither element the wrapper tells the slots: all containers with running
+text that differs between the host's pages, asides left out as long as any
+other is left.
 
 Null and empty pages have an empty text; a null url is a host of its own.
 Repeated rows each get their row. Cut-off and unclosed markup ends with the
@@ -26,6 +29,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,9 +41,11 @@ from .common import cut_lineage
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Fixed names: elements and words of class or id that mark what isn't the article.
+#: Fixed names: elements and words of class or id that mark what isn't the article; words stand for whole names.
 ASIDE = frozenset("nav header footer aside form button select dialog menu fieldset figure".split())
 ASIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs byline comment comments consent cookie cookies discussion disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split())
+#: Marks of a label: some or all whole names of a class, id or role are ASIDE_WORDS.
+SOME_ASIDE, ALL_ASIDE = "!", "!!"
 #: Fixed: an element of the first set ends where one of the second starts.
 ENDS = {
     "p": frozenset("address article aside blockquote center dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split()),
@@ -53,9 +59,13 @@ FAN_IN = 16
 
 
 def label_of(tag: str, attributes: str) -> str:
-    """Element name and the letter words of its class, id and role."""
-    words = sorted({w for value in NAMED.findall(attributes) for w in WORD.findall(value.lower())})
-    return ".".join([tag, *words])
+    """Element name and the letter words of its class, id and role, with marks if whole names of these are ASIDE_WORDS."""
+    values = [value.strip("\"'").lower() for value in NAMED.findall(attributes)]
+    marks = set()
+    for names in map(str.split, values):
+        if not ASIDE_WORDS.isdisjoint(names):
+            marks.add(ALL_ASIDE if ASIDE_WORDS.issuperset(names) else SOME_ASIDE)
+    return ".".join([tag, *sorted({w for value in values for w in WORD.findall(value)} | marks)])
 
 
 def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str, int]]:
@@ -252,13 +262,25 @@ def is_aside(label: str, inside_article: bool) -> bool:
     tag, *words = label.split(".")
     if tag in ("html", "body", "main", "article"):
         return False
-    if tag == "header" and inside_article:
-        return bool(ASIDE_WORDS.intersection(words) - {"header"})
-    return tag in ASIDE or bool(ASIDE_WORDS.intersection(words))
+    if tag in ASIDE and not (tag == "header" and inside_article):
+        return True
+    return ALL_ASIDE in words or SOME_ASIDE in words and not inside_article
+
+
+@lru_cache(maxsize=65_536)
+def article_rank(path: tuple[str, ...]) -> int | None:
+    """0 under an article element, 1 under main or articlebody, 2 more for each name around these that would be an aside's; None for other paths and asides."""
+    inner = next((k for k, label in enumerate(path) if label.split(".")[0] in ("article", "main") or "articlebody" in label.split(".")), None)
+    if inner is None or any(is_aside(label, True) for label in path[inner + 1 :]):
+        return None
+    around = [label for label in path[:inner] if is_aside(label, False)]
+    if any(label.split(".")[0] in ASIDE - {"form"} for label in around):
+        return None
+    return (not any(label.split(".")[0] == "article" for label in path)) + 2 * len(around)
 
 
 def content_paths(wrapper: list) -> list[tuple[str, ...]]:
-    """Paths of the slots that hold the article."""
+    """Paths of the slots that hold the text of pages without an article or main element: all containers with running text that differs."""
     slots: dict[tuple[str, ...], list] = {}
 
     def walk(item: list, path: tuple[str, ...]) -> None:
@@ -272,27 +294,29 @@ def content_paths(wrapper: list) -> list[tuple[str, ...]]:
 
     walk(wrapper, ())
 
-    def main_at(path):
-        return next((k for k, label in enumerate(path) if label.split(".")[0] in ("article", "main") or "articlebody" in label.split(".")), None)
-
     def clean(path):
-        inner = main_at(path)
-        return not any(is_aside(label, inner is not None and k > inner) for k, label in enumerate(path))
-
-    good = [p for p in slots if clean(p)]
-    articles = [p for p in good if any(label.split(".")[0] == "article" for label in p)]
-    inside = articles or [p for p in good if main_at(p) is not None]
-    if inside:
-        return inside
+        return not any(is_aside(label, False) for label in path)
+
+    def clean_elements(path):
+        return not any(label.split(".")[0] in ASIDE - {"form"} for label in path)
+
+    differing = [p for p in slots if not slots[p][1]]  # the others are the same on all pages: part of the template
+    good = next((g for test in (clean, clean_elements) if (g := [p for p in differing if test(p)])), differing)
     mass: dict[tuple[str, ...], int] = {}
     for path in good:
-        if not slots[path][1]:  # the same on all pages: part of the template
-            holder = path[:-1] if path and path[-1].split(".")[0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote") else path
-            mass[holder] = mass.get(holder, 0) + slots[path][0]
-    if not mass:
-        return good
-    top = max(mass, key=lambda p: (mass[p], -len(p), p))
-    return [p for p in good if p[: len(top)] == top and not slots[p][1]]
+        mass[_holder(path)] = mass.get(_holder(path), 0) + slots[path][0]
+    return [p for p in good if mass[_holder(p)]] or good
+
+
+def _holder(path: tuple[str, ...]) -> tuple[str, ...]:
+    return path[:-1] if path and path[-1].split(".")[0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote") else path
+
+
+def page_text(page: str | None, differing: frozenset) -> str:
+    """The blocks of the page's own article or main element, else those of the host's differing slots."""
+    own = list(blocks(page))
+    best = min((r for path, _, _ in own if (r := article_rank(path)) is not None), default=None)
+    return " ".join(text for path, text, _ in own if (path in differing if best is None else article_rank(path) == best))
 
 
 def host_of(url: Column) -> Column:
@@ -348,7 +372,7 @@ BROADCAST_BYTES = 32_000_000
 
 
 def content(pages: DataFrame) -> DataFrame:
-    """host and the paths (JSON) of its article's slots."""
+    """host and the paths (JSON) of its slots for pages without an article or main element."""
 
     def of_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,7 +402,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     if len(seen) >= HOSTS_AT_ONCE:
                         seen.clear()
                     seen[key] = frozenset(tuple(p) for p in json.loads(key))
-                texts.append(" ".join(text for path, text, _ in blocks(page.as_py()) if path in seen[key]))
+                texts.append(page_text(page.as_py(), seen[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
