@@ -27,3 +27,11 @@ def test_names_inside_an_article():
 
 def test_shell_without_article():
     assert texts([f'<div class="sidebar"><p>Text {k}</p></div><nav>Menu {k}</nav>' for k in range(3)])[2] == "Text 2"
+
+
+def test_host_of_several_templates(spark):
+    made = ["<article><p>Text {}</p></article>", "<main><p>Text {}</p></main><footer>F</footer>", '<div class="a"><p>Intro {0}</p></div><h1>Head {0}</h1><div class="b"><p>Long running text {0}</p></div><div class="ad">Buy {0}</div>']
+    rows = [(k, "http://a.example/x", made[k % 3].format(k)) for k in range(9)]
+    got = {r.page_id: r.text for r in htmlextract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(9):
+        assert got[k] == (f"Intro {k} Head {k} Long running text {k}" if k % 3 == 2 else f"Text {k}")
