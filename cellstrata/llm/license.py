@@ -1,11 +1,13 @@
 """License scans by a positional index of rare words, in built-in functions only.
 
-A file's words are looked up in the vocabulary of the licence templates. Of
-those found, the words with the highest inverse document frequency, counted
-over the whole corpus, are looked up in the templates' postings; postings are
-intersected by relative position (template position less file position), and a
-template counts if enough of its places agree on one offset and all its
-mandatory phrases stand in the file.
+A file's words are looked up in the vocabulary of the licence templates. Around
+each place of a template's first mandatory phrase, the template's words with
+the highest inverse document frequency, counted over the whole corpus, are
+looked up in its postings; postings are intersected by relative position
+(template position less file position), and a template counts if enough of its
+places agree on one offset and all its mandatory phrases stand in the file.
+Each template and place has rarest words of its own, so other licences and
+other text of the file take nothing away from it.
 
 Null and empty texts have no words and no labels. Repeated rows and ties (equal
 frequencies go by the word) get equal results. Columns other than doc_id and
@@ -43,7 +45,7 @@ TEMPLATES = (
     ("proprietary", "copyright all rights reserved", ("all rights reserved",)),
 )
 
-#: How many of a file's rarest licence words are looked up, and the share of a template's looked-up words that must agree on one offset.
+#: How many of a template's rarest words near a mandatory phrase are looked up, and the share of a template's looked-up words that must agree on one offset.
 RAREST, AGREE = 8, 0.6
 
 
@@ -108,43 +110,46 @@ def frequencies(docs: DataFrame) -> dict[str, int]:
     return {row["word"]: row["count"] for row in counts}
 
 
-def labels_of(hits: Column, line: Column, frequency: dict[str, int]) -> Column:
-    """(label, share) of the templates that agree on an offset and whose mandatory phrases stand in the file."""
-    index = postings()
-    rank = {w: k for k, w in enumerate(sorted(index, key=lambda w: (frequency.get(w, 0), w)))}
-    ranks = F.create_map(*[F.lit(x) for w in sorted(index) for x in (w, rank[w])])
-    own = F.array_sort(F.array_distinct(F.transform(hits, lambda h: F.element_at(ranks, h["word"]))))
-    rarest = F.slice(own, 1, RAREST)
+def labels_of(words: Column, line: Column, frequency: dict[str, int]) -> Column:
+    """(label, share) of the templates that agree on an offset near one of their mandatory phrases, all of which stand in the file."""
+    rank = {w: k for k, w in enumerate(sorted(postings(), key=lambda w: (frequency.get(w, 0), w)))}
 
-    def chosen(rare: Column) -> Column:
-        return F.filter(hits, lambda h: F.array_contains(rare, F.element_at(ranks, h["word"])))
+    def most_alike(offsets: Column) -> Column:
+        votes = F.transform(F.array_distinct(offsets), lambda x: F.size(F.filter(offsets, lambda y: y == x)))
+        return F.coalesce(F.array_max(votes), F.lit(0))
 
-    def share_of(words: str):
+    def share_near(template: str, must: str):
+        own = template.split()
         at = defaultdict(list)
-        for k, word in enumerate(words.split()):
+        for k, word in enumerate(own):
             at[word].append(k)
-        known = sorted(at)
-        where = F.create_map(*[x for w in known for x in (F.lit(w), F.array(*[F.lit(k) for k in at[w]]))])
+        known = F.create_map(*[x for w in sorted(at) for x in (F.lit(w), F.struct(F.lit(rank[w]).alias("rank"), F.array(*[F.lit(k) for k in at[w]]).alias("at")))])
+        ahead = next(k for k in range(len(own)) if own[k : k + len(must.split())] == must.split())
 
-        def share(rare: Column) -> Column:
-            usable = F.size(F.array_intersect(F.array(*[F.lit(rank[w]) for w in known]), rare))
-            mine = F.filter(chosen(rare), lambda h: h["word"].isin(known))
-            offsets = F.flatten(F.transform(mine, lambda h: F.transform(F.element_at(where, h["word"]), lambda k: h["at"] - k)))
-            return F.least(F.lit(1.0), bound(offsets, most_alike) / F.greatest(usable, F.lit(1)))
+        def share(place: Column) -> Column:
+            first = F.greatest(place - (ahead + len(own)), F.lit(0))  # a template's length of slack on either side
+            window = F.sequence(first, place + (2 * len(own) - ahead))
+            mine = F.transform(window, lambda i: F.struct(i.alias("i"), F.element_at(known, F.coalesce(F.get(words, i), F.lit(""))).alias("known")))
+            return bound(F.filter(mine, lambda h: h["known"].isNotNull()), of_hits)
 
-        return share
+        def of_hits(hits: Column) -> Column:
+            return bound(F.slice(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["known"]["rank"]))), 1, RAREST), lambda rare: agreed(hits, rare))
 
-    def most_alike(offsets: Column) -> Column:
-        votes = F.transform(F.array_distinct(offsets), lambda x: F.size(F.filter(offsets, lambda y: y == x)))
-        return F.coalesce(F.array_max(votes), F.lit(0))
+        def agreed(hits: Column, rare: Column) -> Column:
+            chosen = F.filter(hits, lambda h: F.array_contains(rare, h["known"]["rank"]))
+            offsets = F.flatten(F.transform(chosen, lambda h: F.transform(h["known"]["at"], lambda k: h["i"] - k)))
+            return F.least(F.lit(1.0), bound(offsets, most_alike) / F.greatest(F.size(rare), F.lit(1))).cast("double")
+
+        return share
 
     found = []
-    for label, words, musts in TEMPLATES:
+    for label, template, musts in TEMPLATES:
         verified = F.lit(True)
         for must in musts:
             verified = verified & has(line, must)
-        share = bound(rarest, share_of(words)).cast("double")
-        found.append(F.when(verified, F.struct(F.lit(label).alias("label"), share.alias("share"))))
+        # an array of one place at least where the phrase stands, so the maximum is never null there
+        best = F.array_max(F.transform(places(words, musts[0]), share_near(template, musts[0])))
+        found.append(F.when(verified, F.struct(F.lit(label).alias("label"), best.alias("share"))))
     return F.filter(F.array(*found), lambda x: F.coalesce(x["share"] >= AGREE, F.lit(False)))
 
 
@@ -155,7 +160,7 @@ def digest(docs: DataFrame) -> DataFrame:
     hit = vocabulary_hits(slim)
     base = hit.withColumn("__places", F.array(*[F.when(has(F.col("line"), p), places(F.col("words"), p)).otherwise(F.array().cast("array<int>")) for p in PHRASES]))
     none = F.array().cast("array<struct<label:string,share:double>>")
-    scored = base.withColumn("__found", F.when(F.size("hits") > 0, labels_of(F.col("hits"), F.col("line"), frequency)).otherwise(none))
+    scored = base.withColumn("__found", F.when(F.size("hits") > 0, labels_of(F.col("words"), F.col("line"), frequency)).otherwise(none))
     kept = [F.when(F.size(F.get("__places", k)) > 0, F.lit(label)) for k, label in enumerate(PHRASES.values())]
     base_labels = F.filter(F.array(*kept), lambda x: x.isNotNull())
     every = F.sort_array(F.array_distinct(F.concat("__base", F.transform("__found", lambda x: x["label"]))))
