@@ -16,12 +16,15 @@ then, in ascending order, each suffix places those of which it is the next
 smaller. Strings of LENGTH bytes are repeats if suffixes next to each other in
 the order share them.
 
-Groups of more than GROUP_SEGMENTS segments aren't put into one task: there each
-start's string is hashed and counted instead.
+Groups of more than GROUP_SEGMENTS segments aren't put into one task. Their
+segments are cut into parts by where the anchor stands in a string, and parts
+meet by the bytes that all strings of a part share. Equal parts are merged, and
+what is left of a group is sorted as above, or cut finer if it is still large.
 
 Null and empty texts, and texts shorter than LENGTH bytes, lose nothing. Equal
-texts and repeated rows count as occurrences of each other. Other columns aren't
-read. An empty table gives an empty result.
+texts and repeated rows count as occurrences of each other. Very long texts are
+read whole, in stretches. Other columns aren't read, so their names can't clash.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,8 +42,8 @@ from .common import cut_lineage
 
 LENGTH = 400
 GRAM = 128
-#: Segments of a group that one task sorts (about half a kilobyte each).
-GROUP_SEGMENTS = 20_000
+#: Segments of a group that one task sorts (under 2 * LENGTH bytes each).
+GROUP_SEGMENTS = 2_000
 #: Bytes of a text whose anchors are found at once; positions must fit in the low bits of a key.
 STRETCH = 1 << 22
 _LOW = np.uint64((1 << 24) - 1)
@@ -84,7 +87,7 @@ def segments(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[
         for anchor, at, size, spot in zip(anchors.tolist(), first.tolist(), sizes.tolist(), spots[first].tolist(), strict=True):
             begin = low + at
             own = xxhash.xxh3_64_intdigest(data[begin : begin + size + length - 1])
-            out.append((anchor, own - (1 << 64) if own >> 63 else own, size, spot - at))
+            out.append((anchor, _long(own), size, spot - at))
     return out
 
 
@@ -250,46 +253,81 @@ def occurrences(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, f"{schema}, start int, anchor long, segment long, starts int, spot int")
 
 
+def _long(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
 def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS) -> tuple[DataFrame, DataFrame]:
     """occurrences() and anchor, segment, first, last: runs of starts within a segment whose strings occur again."""
-    found = occurrences(texts, length, gram)
+    found = cut_lineage(occurrences(texts, length, gram))
     holder = F.min(F.struct("doc_id", "tid", "start")).alias("holder")
     distinct = found.groupBy("anchor", "segment").agg(F.count("*").alias("times"), holder, F.first("starts").alias("starts"), F.first("spot").alias("spot"))
-    distinct = cut_lineage(distinct.withColumn("single", F.col("times") == 1).join(
-        _of_interest(found), "anchor", "left_semi"))
+    distinct = cut_lineage(distinct.withColumn("single", F.col("times") == 1).join(_of_interest(found), "anchor", "left_semi"))
     groups = distinct.groupBy("anchor").agg(F.count("*").alias("segments"), F.max("single").alias("any_single"))
-    whole = distinct.where("times > 1").select("anchor", "segment", F.lit(0).alias("first"), (F.col("starts") - 1).alias("last"))
+    runs = distinct.where("times > 1").select("anchor", "segment", F.lit(0).alias("first"), (F.col("starts") - 1).alias("last"))
     mixed = groups.where("segments > 1 and any_single").select("anchor", "segments")
-    wanted = distinct.join(mixed, "anchor").select("holder.doc_id", "holder.tid", F.struct(F.col("holder.start").alias("start"), "anchor", "segment", "starts", "spot", "single", (F.col("segments") > group_segments).alias("large")).alias("want"))
+    wanted = distinct.join(mixed, "anchor").select("holder.doc_id", "holder.tid", F.struct(F.col("holder.start").alias("start"), "anchor", "segment", "starts", "spot", "single", "segments").alias("want"))
     per_text = wanted.groupBy("doc_id", "tid").agg(F.collect_list("want").alias("wants")).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid"), "wants")
     met = texts.join(per_text, texts["doc_id"].eqNullSafe(per_text["__id"]) & (texts["tid"] == per_text["__tid"])).select("data", F.explode("wants").alias("w"))
     cut = F.substring(F.col("data"), F.col("w.start") + 1, F.col("w.starts") + length - 1)
-    sent = met.select("w.anchor", "w.segment", "w.spot", "w.single", "w.large", cut.alias("data"))
-    schema = "anchor long, segment long, first int, last int"
+    sent = met.select(F.col("w.anchor").alias("key"), "w.spot", "w.single", "w.anchor", "w.segment", F.lit(0).alias("shift"), cut.alias("data"), "w.segments")
+    most, width = mixed.agg(F.max("segments")).first()[0] or 0, length - gram + 1
+    while most > group_segments:
+        runs = runs.unionByName(_by_suffix_arrays(sent.where(F.col("segments") <= group_segments), length))
+        width = max(1, width // 8)
+        parts = cut_lineage(_split(sent.where(F.col("segments") > group_segments), width, length))
+        owner = [F.min(c).alias(c) for c in ("anchor", "segment", "shift", "spot")]
+        own = parts.groupBy("key", "own").agg(F.count("*").alias("times"), F.max("single").alias("single"), F.min("data").alias("data"), *owner)
+        own = cut_lineage(own)
+        again = own.where("times > 1").select("key", "own")
+        whole = parts.where("single").join(again.hint("merge"), ["key", "own"])
+        runs = runs.unionByName(whole.select("anchor", "segment", F.col("shift").alias("first"), (F.col("shift") + F.octet_length("data") - length).alias("last")))
+        rest = own.withColumn("single", F.col("single") & (F.col("times") == 1))
+        sizes = rest.groupBy("key").agg(F.count("*").alias("segments"), F.max("single").alias("any_single")).where("segments > 1 and any_single").select("key", "segments")
+        most = sizes.agg(F.max("segments")).first()[0] or 0
+        sent = rest.join(sizes.hint("merge"), "key").select("key", "spot", "single", "anchor", "segment", "shift", "data", "segments")
+    return found, runs.unionByName(_by_suffix_arrays(sent, length))
+
+
+def _by_suffix_arrays(sent: DataFrame, length: int) -> DataFrame:
+    """Runs of repeated strings in the single segments of each group (key): one suffix array a group."""
 
     def of_group(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = {}
-        for batch in batches:
-            for own, spot, single, data in zip(*(batch.column(c).to_pylist() for c in ("segment", "spot", "single", "data")), strict=True):
-                rows[own] = (data, spot, single)
+        rows = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("data", "spot", "single", "anchor", "segment", "shift")), strict=True)]
         out = []
-        for (own, (_, _, single)), starts in zip(rows.items(), repeats([(d, s) for d, s, _ in rows.values()], length), strict=True):
+        for (_, _, single, anchor, segment, shift), starts in zip(rows, repeats([(data, spot) for data, spot, *_ in rows], length), strict=True):
             if single:  # the others are repeats as a whole
-                out += [(key[0].as_py(), own, a, b) for a, b in _runs(starts)]
+                out += [(anchor, segment, shift + a, shift + b) for a, b in _runs(starts)]
         yield _batch(out, ["anchor", "segment", "first", "last"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()])
 
-    def of_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for anchor, own, spot, single, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "spot", "single", "data")), strict=True):
-                rows = [(anchor, own, k, spot - k, xxhash.xxh3_64_intdigest(data[k : k + length]) - (1 << 63), single) for k in range(len(data) - length + 1)]
-                yield _batch(rows, ["anchor", "segment", "first", "offset", "string", "single"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()])
+    return sent.drop("segments").groupBy("key").applyInArrow(of_group, "anchor long, segment long, first int, last int")
+
 
-    by_sort = sent.where("not large").groupBy("anchor").applyInArrow(of_group, schema)
-    strings = sent.where("large").mapInArrow(of_large, "anchor long, segment long, first int, offset int, string long, single boolean")
-    again = strings.groupBy("anchor", "offset", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    by_hash = strings.where("single").hint("merge").join(again, ["anchor", "offset", "string"]).select("anchor", "segment", "first", F.col("first").alias("last"))
-    runs = whole.unionByName(by_sort).unionByName(by_hash)
-    return found, runs
+def _split(sent: DataFrame, width: int, length: int) -> DataFrame:
+    """The segments cut into parts whose strings have their anchor at one of `width` neighbouring offsets.
+
+    All strings of a part share its core: what lies between the last start and
+    the first end. Equal strings have equal offsets, so equal cores, and meet
+    in the group of their core (key); at width 1 that is the string itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["key", "own", "spot", "single", "anchor", "segment", "shift", "data"], [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        for batch in batches:
+            out = []
+            for data, spot, single, anchor, segment, shift in zip(*(batch.column(c).to_pylist() for c in ("data", "spot", "single", "anchor", "segment", "shift")), strict=True):
+                starts = len(data) - length + 1
+                for low in range((spot - starts + 1) // width * width, spot + 1, width):
+                    first, last = max(0, spot - low - width + 1), min(starts - 1, spot - low)
+                    core, part = data[spot - low : spot + length - low - width + 1], data[first : last + length]
+                    key = xxhash.xxh3_64_intdigest(core, low)
+                    out.append((_long(key), _long(xxhash.xxh3_64_intdigest(part)), spot - first, single, anchor, segment, shift + first, part))
+                if len(out) > 20_000:
+                    yield _batch(out, names, kinds)
+                    out = []
+            yield _batch(out, names, kinds)
+
+    return sent.mapInArrow(run, "key long, own long, spot int, single boolean, anchor long, segment long, shift int, data binary")
 
 
 def _of_interest(found: DataFrame) -> DataFrame:
@@ -310,7 +348,10 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segm
 
 
 def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS) -> DataFrame:
-    """Bytes, removed bytes, removed runs and the hash of what is left of every document."""
+    """Bytes, removed bytes, removed runs, and hash and code points of what is left of every document.
+
+    kept_chars leaves out bytes of characters that a removal cut in two.
+    """
     found = removals(docs, length, gram, group_segments)
     kind = dict(found.dtypes)["doc_id"]
 
@@ -319,19 +360,19 @@ def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segmen
             rows = []
             for data, runs in zip(batch.column("data"), batch.column("runs"), strict=True):
                 data = data.as_py()
-                kept, end, removed, n = hashlib.sha256(), 0, 0, 0
+                kept, end, removed, n = bytearray(), 0, 0, 0
                 stop = -1
                 for x in sorted(runs.as_py() or [], key=lambda x: (x["first"], x["last"])):
                     begin, until = x["first"], x["last"] + length
                     if begin > stop:
-                        kept.update(data[end:begin])
+                        kept += data[end:begin]
                         n += 1
                     begin = max(begin, end)
                     removed += max(0, until - begin)
                     end = stop = max(end, until)
-                kept.update(data[end:])
-                rows.append((len(data), removed, n, kept.hexdigest()))
-            rest = _batch(rows, ["n_bytes", "n_removed", "n_spans", "kept_sha256"], [pa.int64(), pa.int64(), pa.int64(), pa.string()])
+                kept += data[end:]
+                rows.append((len(data), removed, n, hashlib.sha256(kept).hexdigest(), len(kept.decode("utf-8", "ignore"))))
+            rest = _batch(rows, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_chars"], [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *rest.columns], ["doc_id", *rest.schema.names])
 
-    return found.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_chars long")

@@ -288,11 +288,23 @@ def plain_repeats(data, length):
     return out
 
 
-@pytest.mark.parametrize("group_segments", [20_000, 1])
+@pytest.mark.parametrize("group_segments", [2_000, 3, 1])
 def test_suffix_dedup(docs, by_id, group_segments):
     want = dict(zip(by_id, plain_repeats([t.encode() for t in by_id.values()], 400), strict=True))
-    got = {r.doc_id: tuple(r)[1:] for r in suffixdedup.digest(docs, group_segments=group_segments).collect()}
+    rows = suffixdedup.digest(docs, group_segments=group_segments).collect()
+    got = {r.doc_id: tuple(r)[1:5] for r in rows}
     assert got == want and sum(w[1] for w in want.values()) > 2000
+    assert all(r.kept_chars == len(by_id[r.doc_id]) for r in rows if not r.n_removed)
+
+
+def test_suffix_dedup_splits_a_passage_with_many_contexts(spark):
+    r = random.Random(8)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(390))
+    near = ["".join(r.choice("xy") for _ in range(12)) + passage + "".join(r.choice("xy") for _ in range(14)) for _ in range(300)]
+    table = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    want = plain_repeats([t.encode() for t in near], 400)
+    for bound in (2_000, 40):
+        assert [tuple(x)[1:5] for x in sorted(suffixdedup.digest(table, group_segments=bound).collect())] == want
 
 
 def test_suffix_array():
