@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,19 +38,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder of spark.checkpoint.dir; a temporary one only where none is set."""
+def _shared_folder(df: DataFrame) -> str:
+    """The job's folder for checkpoints: that of spark.checkpoint.dir. A temporary one only where none is set and all runs on one machine."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A checkpoint in the folder of spark.checkpoint.dir; keeps how rows are partitioned."""
+    _shared_folder(df)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table beside the checkpoints: smaller than one, and read by column."""
+    path = f"{_shared_folder(df)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of one part of a group in with_offsets, about.
+PART_ROWS = 250_000
+
+
+def parts_for(rows: int) -> int:
+    """Parts of each group for with_offsets, so that a group of all rows has parts of PART_ROWS."""
+    return max(64, math.ceil(rows / PART_ROWS))
+
+
 def with_offsets(df: DataFrame, group: str, order: list[Column], weight: Column, out: str, buckets: int) -> DataFrame:
     """Adds `out`: the sum of weight over the rows of the same group that come before.
 
