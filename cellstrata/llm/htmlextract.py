@@ -9,17 +9,21 @@ texts that differ become slots. Alignment of wrappers is again a wrapper, so a
 partition aligns its pages, and partial wrappers of a host are aligned in
 rounds of a fixed fan-in, whatever the host's size.
 
-Each page's text is that under its own article element, else under its main
-element, without menus, footers, sides, notices, adverts, forms and comments,
-known by element and by whole class, id and role names; inside an article, a
-name counts only if all names of that attribute do. Names of what encloses an
-article only count against other article or main elements of the page. For pages
-with neither element the wrapper tells the slots: all containers with running
-text that differs between the host's pages, asides left out as long as any
-other is left.
+The wrapper tells which of its slots hold content, and each page is read by its
+host's slots. Content are the slots under an article element, else under a main
+element, but for text that is the same on all of the host's pages (the template's
+notices and labels; see content_paths), and without menus, footers, sides,
+notices, adverts, forms and comments, known by element and by whole class, id
+and role names; inside an article, a name counts only if all names of that
+attribute do. Names of what encloses an article only count against other article
+or main elements of the page. For pages with neither element, content are all
+containers with running text that differs between the host's pages, asides left
+out as long as any other is left.
 
 Null and empty pages have an empty text; a null url is a host of its own.
-Repeated rows each get their row. Cut-off and unclosed markup ends with the
+Repeated rows each get their row, and a host of equal pages keeps their text.
+Equal texts in several slots are kept in page order. Very long pages are read
+whole. Cut-off and unclosed markup ends with the
 page. Other columns aren't read. An empty table gives an empty result.
 """
 
@@ -279,20 +283,39 @@ def article_rank(path: tuple[str, ...]) -> int | None:
     return (not any(label.split(".")[0] == "article" for label in path)) + 2 * len(around)
 
 
-def content_paths(wrapper: list) -> list[tuple[str, ...]]:
-    """Paths of the slots that hold the text of pages without an article or main element: all containers with running text that differs."""
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Pages from which on a host's wrapper can tell template text from the article's.
+TELLING = 3
+
+
+#: Rank of slots that aren't in an article or main element.
+FALLBACK = 1_000_000
+
+
+def content_paths(wrapper: list) -> dict[tuple[str, ...], int]:
+    """The wrapper's content slots by path, with the rank of their element: the article's (see article_rank), FALLBACK for pages without one.
+
+    A slot whose text is the same on all pages, and that no page lacks, is part
+    of the template. Within articles that goes for hosts of TELLING pages or
+    more whose articles differ elsewhere, and not for headings.
+    """
     slots: dict[tuple[str, ...], list] = {}
 
-    def walk(item: list, path: tuple[str, ...]) -> None:
+    def walk(item: list, path: tuple[str, ...], sure: bool) -> None:
         for child in item[5]:
+            always = sure and child[1] in "1+"
             if child[0] == "#":
-                own = slots.setdefault(path, [0, True])
+                own = slots.setdefault(path, [0, True, False])
                 own[0] += child[4]
                 own[1] = own[1] and child[3] is not None and child[2] > 1
+                own[2] = own[2] or always
             else:
-                walk(child, path if child[0] == "(" else (*path, child[0]))
+                walk(child, path if child[0] == "(" else (*path, child[0]), always)
 
-    walk(wrapper, ())
+    walk(wrapper, (), True)
+    ranks = {path: rank for path in slots if (rank := article_rank(path)) is not None}
+    if wrapper[2] >= TELLING and any(not slots[path][1] for path in ranks):
+        ranks = {p: r for p, r in ranks.items() if not (slots[p][1] and slots[p][2]) or p[-1].split(".")[0] in HEADINGS}
 
     def clean(path):
         return not any(is_aside(label, False) for label in path)
@@ -300,23 +323,27 @@ def content_paths(wrapper: list) -> list[tuple[str, ...]]:
     def clean_elements(path):
         return not any(label.split(".")[0] in ASIDE - {"form"} for label in path)
 
-    differing = [p for p in slots if not slots[p][1]]  # the others are the same on all pages: part of the template
+    differing = [p for p in slots if not slots[p][1]] or list(slots)  # the others are the same on all pages: part of the template, unless nothing differs
     good = next((g for test in (clean, clean_elements) if (g := [p for p in differing if test(p)])), differing)
     mass: dict[tuple[str, ...], int] = {}
     for path in good:
         mass[_holder(path)] = mass.get(_holder(path), 0) + slots[path][0]
-    return [p for p in good if mass[_holder(p)]] or good
+    return {p: FALLBACK for p in [p for p in good if mass[_holder(p)]] or good} | ranks
 
 
 def _holder(path: tuple[str, ...]) -> tuple[str, ...]:
     return path[:-1] if path and path[-1].split(".")[0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote") else path
 
 
-def page_text(page: str | None, differing: frozenset) -> str:
-    """The blocks of the page's own article or main element, else those of the host's differing slots."""
+def page_text(page: str | None, content: dict[tuple[str, ...], int]) -> str:
+    """The page read by its host's wrapper: the blocks in the content slots of the best rank that the page has.
+
+    Slots of FALLBACK serve only pages without an article or main element.
+    """
     own = list(blocks(page))
-    best = min((r for path, _, _ in own if (r := article_rank(path)) is not None), default=None)
-    return " ".join(text for path, text, _ in own if (path in differing if best is None else article_rank(path) == best))
+    best = min((rank for path, _, _ in own if (rank := article_rank(path)) is not None), default=FALLBACK)
+    wanted = {path for path, rank in content.items() if rank == best or best == FALLBACK}
+    return " ".join(text for path, text, _ in own if path in wanted)
 
 
 def host_of(url: Column) -> Column:
@@ -372,11 +399,11 @@ BROADCAST_BYTES = 32_000_000
 
 
 def content(pages: DataFrame) -> DataFrame:
-    """host and the paths (JSON) of its slots for pages without an article or main element."""
+    """host and its content slots (JSON): paths and ranks."""
 
     def of_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [json.dumps(content_paths(json.loads(w.as_py())), ensure_ascii=False) for w in batch.column("wrapper")]
+            paths = [json.dumps(list(content_paths(json.loads(w.as_py())).items()), ensure_ascii=False) for w in batch.column("wrapper")]
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.string())], ["host", "paths"])
 
     return cut_lineage(wrappers(pages).mapInArrow(of_wrappers, "host string, paths string"))
@@ -393,7 +420,7 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = slim.select("page_id", "url").withColumn("text", F.lit("")).withColumn("n_chars", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, frozenset] = {}
+        seen: dict[str, dict] = {}
         for batch in batches:
             texts = []
             for page, paths in zip(batch.column("html"), batch.column("paths"), strict=True):
@@ -401,7 +428,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 if key not in seen:
                     if len(seen) >= HOSTS_AT_ONCE:
                         seen.clear()
-                    seen[key] = frozenset(tuple(p) for p in json.loads(key))
+                    seen[key] = {tuple(path): rank for path, rank in json.loads(key)}
                 texts.append(page_text(page.as_py(), seen[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
