@@ -3,16 +3,17 @@
 The words of each source, documents in a pseudorandom but fixed order, are
 packed into blocks of fixed length (the last may be shorter). A source is due
 `target` words: so many slots, of which the last takes only the words that are
-still due. Each slot draws its output shard by hash, so the counts of a source
-over the shards are a multinomial draw, given the source's total. Slot k of a
-source is mapped through that source's pseudorandom permutation of its blocks
+still due. How many of a source's slots each output shard gets is a multinomial
+draw, given the source's total; the shards take the slots in order, each its
+count. Slot k of a source is mapped through that source's pseudorandom permutation of its blocks
 (a new one for each pass over the source), and blocks join slots by index. A
 target is at most twice a source's size, so no block is drawn more than twice.
 
 Sources go by code point, null last. Null and empty texts have no words and
 take none; a source without words gets target 0. Repeated rows are separate
 documents with equal keys; which of them takes which words is then open, but
-they are alike. Columns that aren't named here aren't read. An empty table
+they are alike. Very long texts lie in many blocks and are read whole. Columns
+that aren't named here aren't read, or come through unchanged. An empty table
 gives an empty result.
 """
 
@@ -27,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RUN, cut_lineage, with_offsets, word_count
+from .common import WORD_RUN, cut_lineage, parts_for, with_offsets, word_count
 
 BLOCK_WORDS = 64
 OUTPUT_SHARDS = 64
 SEED = 7
-#: Parts of a source in which word positions are summed apart; see with_offsets.
-BUCKETS = 256
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
 
@@ -88,11 +87,16 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.xxhash64("text").alias("__text"), word_count(F.col("text")).alias("size"))
 
 
+def shard_counts(n: int, number: int, shards: int, seed: int) -> list[int]:
+    """Slots of each output shard: a multinomial draw of a source's n slots over equally likely shards."""
+    return np.random.default_rng([seed, number]).multinomial(n, np.full(shards, 1 / shards)).tolist()
+
+
 def slots(goals: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
     """number, slot, turn (the pass over the source), shard, block and take (words of the block, from its start) of every slot of every source.
 
     Runs of slots are expanded after they are dealt out, so no task makes all
-    slots of a large source.
+    slots of a large source or shard.
     """
     run = 4096
     due = goals.where((F.col("source_size") > 0) & (F.round("target") > 0)).select(
@@ -102,9 +106,18 @@ def slots(goals: DataFrame, block_words: int, shards: int, seed: int) -> DataFra
     passes = F.floor(F.col("due") / F.col("size"))
     rest = F.col("due") - passes * F.col("size")
     counted = due.withColumn("blocks", blocks).withColumn("n", (passes * blocks + F.ceil(rest / block_words)).cast("long"))
-    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / run))))
-    dealt = runs.repartition("number", "run")
-    each = dealt.withColumn("slot", F.explode(F.sequence(F.col("run") * run, F.least((F.col("run") + 1) * run, F.col("n")) - 1)))
+
+    @F.pandas_udf("array<long>")
+    def counts_of(n: pd.Series, number: pd.Series) -> pd.Series:
+        return pd.Series([shard_counts(int(a), int(b), shards, seed) for a, b in zip(n, number, strict=True)])
+
+    drawn = counted.select("*", F.posexplode(counts_of("n", "number")).alias("shard", "count"))
+    before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    laid = drawn.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))).where("count > 0")
+    runs = laid.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("count") - 1) / run))))
+    dealt = runs.repartition("number", "shard", "run")
+    within = F.sequence(F.col("run") * run, F.least((F.col("run") + 1) * run, F.col("count")) - 1)
+    each = dealt.withColumn("slot", F.explode(within)).withColumn("slot", F.col("first") + F.col("slot"))
 
     @F.pandas_udf("long")
     def block_of(slot: pd.Series, size: pd.Series, blocks: pd.Series, number: pd.Series) -> pd.Series:
@@ -115,9 +128,8 @@ def slots(goals: DataFrame, block_words: int, shards: int, seed: int) -> DataFra
 
     turn, at = F.floor(F.col("slot") / F.col("blocks")), F.col("slot") % F.col("blocks")
     left = F.col("due") - turn * F.col("size") - at * block_words
-    shard = F.pmod(F.xxhash64(F.lit(seed), F.col("number"), F.col("slot")), F.lit(shards)).cast("int")
     return each.select(
-        "number", "slot", turn.cast("int").alias("turn"), shard.alias("shard"), block_of("slot", "size", "blocks", "number").alias("block"),
+        "number", "slot", turn.cast("int").alias("turn"), "shard", block_of("slot", "size", "blocks", "number").alias("block"),
         F.least(left, F.lit(block_words)).cast("long").alias("take"),
     )
 
@@ -144,7 +156,7 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_
     named = goals.withColumnRenamed("source", "__source")
     known = docs.join(F.broadcast(named) if _few(goals) else named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     order = [F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id"), F.col("__text"), F.col("size")]
-    placed = with_offsets(known, "number", order, F.col("size"), "offset", BUCKETS)
+    placed = with_offsets(known, "number", order, F.col("size"), "offset", parts_for(docs.count()))
     parts = pieces(placed.select("number", "size", "offset"), block_words).drop("size")
     # Both sides are expanded from few rows, so their size is underrated: never broadcast.
     drawn = parts.join(slots(goals, block_words, shards, seed).hint("merge"), ["number", "block"])
@@ -161,13 +173,15 @@ def _few(goals: DataFrame) -> bool:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The words that the mix takes of every document, repeats counted."""
+    """The words that the mix takes of every document, repeats counted, and over how many output shards they go."""
     placed, draws = mixed(docs)
-    taken = draws.groupBy("number", "offset").agg(F.sum("words").alias("taken"))
+    met = F.expr("bit_or(shiftleft(1L, shard))")  # a bit for each of OUTPUT_SHARDS, which are 64
+    taken = draws.groupBy("number", "offset").agg(F.sum("words").alias("taken"), met.alias("met"))
     own = F.col("size") > 0  # a document without words shares its offset with the next
     return placed.join(taken, ["number", "offset"], "left").select(
-        "doc_id", "size", "source_size", "target", F.when(own, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken")
-    )
+        "doc_id", "size", "source_size", "target", F.when(own, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+        F.when(own, F.bit_count(F.coalesce("met", F.lit(0).cast("long")))).otherwise(0).cast("long").alias("n_shards"),
+    )
 
 
 def taken_text(text: str, pieces: list[tuple[int, int]]) -> str:
@@ -195,12 +209,12 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     piece = F.struct(F.col("turn").alias("turn"), size.alias("first"), (size + F.col("words")).alias("stop"))
     lists = draws.groupBy("number", "offset").agg(F.collect_list(piece).alias("pieces"))
     own = placed.where("size > 0").join(lists, ["number", "offset"])
-    plans = own.groupBy("doc_id", "__text").agg(F.sort_array(F.collect_list(F.struct("number", "offset", "pieces"))).alias("copies"))
-    plans = plans.select(F.col("doc_id").alias("__id"), F.col("__text").alias("__plan"), "copies")
+    plans = own.groupBy("doc_id", "__text").agg(F.sort_array(F.collect_list(F.struct("number", "offset", "pieces"))).alias("__copies"))
+    plans = plans.select(F.col("doc_id").alias("__id"), F.col("__text").alias("__plan"), "__copies")
     keyed = docs.withColumn("__hash", F.xxhash64("text"))
     met = keyed.join(plans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__plan")))
     copy = Window.partitionBy("doc_id", "__hash").orderBy("source")
-    ready = met.withColumn("__pieces", F.get("copies", F.row_number().over(copy) - 1)["pieces"]).where("__pieces is not null")
+    ready = met.withColumn("__pieces", F.get("__copies", F.row_number().over(copy) - 1)["pieces"]).where("__pieces is not null")
     columns = docs.columns
     at, counts = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
 
