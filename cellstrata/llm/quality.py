@@ -6,10 +6,10 @@ rules by rejection per cost. The verdict is one CASE expression in that order,
 so that a rejected text never reaches the dear rules. The order moves cost, not
 the verdict: a text is kept if no rule rejects it.
 
-Null and empty texts have no words and fail the rule `few_words`. Repeated rows
-and ties get equal verdicts. Columns of the input stay as they are; a column of
-the same name as an output column is replaced. An empty table gives an empty
-result, in the declared order of rules.
+Null and empty texts have no words and fail the rule `few_words`. Very long
+texts are read whole. Repeated rows and ties get equal verdicts. Columns of the
+input stay as they are; judge() replaces a column of the name that it adds (a
+parameter). An empty table gives an empty result, in the declared order of rules.
 """
 
 from __future__ import annotations
@@ -150,13 +150,17 @@ RULES = (
     Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words"))),
 )
 
+#: The rules that base_failed stands for.
+BASE = ("few_words", "repeated_windows")
+
 
 def estimate(docs: DataFrame, text: str = "text", rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """Rejection share and seconds of each rule on a sample of about sample_rows rows."""
     total = docs.count()
     if not total:
         return [{"rule": r.name, "rejects": 0.0, "cost": 0.0} for r in rules]
-    sample = docs.select(F.col(text).alias("__text"), words_of(F.col(text)).alias("__words")).sample(fraction=min(1.0, sample_rows / total), seed=9).coalesce(1).persist()
+    drawn = docs.select(F.col(text).alias("__text")).sample(fraction=min(1.0, sample_rows / total), seed=9).repartition(1)  # only the drawn rows move
+    sample = drawn.select("__text", words_of(F.col("__text")).alias("__words")).persist()
     try:
         sample.count()
         found = []
@@ -191,26 +195,30 @@ def first_failed(measure, rules) -> Column:
     return verdict.otherwise(F.lit(None).cast("string"))
 
 
-def judge(docs: DataFrame, text: str = "text", rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """docs with `failed_rule`: null for the texts to keep."""
+def judge(docs: DataFrame, text: str = "text", rules=RULES, sample_rows: int = SAMPLE_ROWS, out: str = "failed_rule") -> DataFrame:
+    """docs with the name of the rule that rejects, in column `out`: null for the texts to keep."""
     order = ordered(rules, estimate(docs, text, rules, sample_rows))
     split = docs.withColumn("__words", words_of(F.col(text)))
-    return split.withColumn("failed_rule", first_failed(measured(F.col(text), F.col("__words")), order)).drop("__words")
+    return split.withColumn(out, first_failed(measured(F.col(text), F.col("__words")), order)).drop("__words")
 
 
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id, the measures on which the base rules rest, and the cascade's verdict.
 
-    As every measure is asked for here, the cascade reads the measured columns.
+    The measures of the result are asked for in any case, and the cascade reads
+    these columns. Its other measures are worked out only for texts that the
+    base and the rules before leave standing.
     """
     order = ordered(RULES, estimate(docs))
     split = docs.select("doc_id", "text", words_of(F.col("text")).alias("__words"))
     paired = split.select("*", pair_hashes(F.col("__words")).alias("__pairs"))
     hashed = paired.select("doc_id", "text", "__words", four_hashes(F.col("__pairs")).alias("__fours"))
-    own = MEASURES | {"n_repeat_words": lambda t, w: repeated_of(F.col("__fours"))}
-    counted = hashed.select("doc_id", *[use(F.col("text"), F.col("__words")).alias(name) for name, use in own.items()])
+    own = {n: MEASURES[n] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines")} | {"n_repeat_words": lambda t, w: repeated_of(F.col("__fours"))}
+    counted = hashed.select("doc_id", "text", "__words", *[use(F.col("text"), F.col("__words")).alias(name) for name, use in own.items()])
+    lazily = measured(F.col("text"), F.col("__words"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    verdict = first_failed(lambda name: F.col(name) if name in own else lazily(name), [r for r in order if r.name not in BASE])
     return counted.withColumn("base_failed", failed).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & first_failed(F.col, order).isNull()).alias("kept"),
+        F.when(F.col("base_failed"), False).otherwise(verdict.isNull()).alias("kept"),
     )
