@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 Q = 8
 BUDGET = 0.08
@@ -138,8 +139,20 @@ def align(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int] | No
     return int(row[end]), end
 
 
+def begin_of(item: np.ndarray, text: np.ndarray) -> int:
+    """Where the best stretch that ends with text begins: the item against it from the end, with that end fixed."""
+    steps = np.arange(len(text) + 1)
+    row, text = steps.copy(), text[::-1]
+    for k, char in enumerate(item[::-1], 1):
+        new = np.empty_like(row)
+        new[0] = k
+        new[1:] = np.minimum(row[:-1] + (text != char), row[1:] + 1)
+        row = np.minimum.accumulate(new - steps) + steps
+    return len(text) - int(row.argmin())
+
+
 def matches(text: str | None, index: Index, q: int = Q) -> list[tuple]:
-    """(number of the item, edits, start, stop) of the best place of each item in the text, offsets in the normal text; start is that of the place's band."""
+    """(number of the item, edits, start, stop) of the best place of each item in the text, offsets in the normal text."""
     line = normal(text)
     found: dict[int, tuple] = {}
     for k in index.short:
@@ -176,8 +189,9 @@ def matches(text: str | None, index: Index, q: int = Q) -> list[tuple]:
             best = align(own, chars[begin:end], e)
             if best is not None:
                 stop = begin + best[1]
-                place = (best[0], max(begin, stop - len(own)), stop)
-                found[int(k)] = min(found.get(int(k), place), place)
+                if best[0] < found.get(int(k), (e + 1,))[0]:
+                    low = max(begin, stop - len(own) - e)
+                    found[int(k)] = (best[0], low + begin_of(own, chars[low:stop]), stop)
     return [(k, *v) for k, v in sorted(found.items())]
 
 
@@ -195,8 +209,8 @@ def item_blocks(benchmark: DataFrame) -> list:
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", q: int = Q, budget: float = BUDGET) -> DataFrame:
     """key, item_id, edits, start, stop: one row for each document row and item found in it. Each block of items is sought in all documents."""
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    id_type = dict(benchmark.dtypes)["item_id"]
-    schema = f"key {dict(slim.dtypes)['key']}, item_id {id_type}, edits int, start long, stop long"
+    id_type = benchmark.schema["item_id"].dataType
+    schema = f"key {dict(slim.dtypes)['key']}, item_id {id_type.simpleString()}, edits int, start long, stop long"
 
     def of_block(rows) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +222,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
                         source.append(n)
                         out.append((index.ids[place[0]], *place[1:]))
                 columns = [batch.column("key").take(pa.array(source, pa.int64()))]
-                kinds = (batch_type(id_type), pa.int32(), pa.int64(), pa.int64())
+                kinds = (to_arrow_type(id_type), pa.int32(), pa.int64(), pa.int64())
                 columns += [pa.array([row[c] for row in out], kind) for c, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "item_id", "edits", "start", "stop"])
 
@@ -231,10 +245,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", q: int = Q,
     return reduce(without, item_blocks(benchmark), docs)
 
 
-def batch_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
-
-
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = contaminated(docs, benchmark)
     return found.select(F.col("key").alias("doc_id"), "item_id", "edits", "start", "stop")
