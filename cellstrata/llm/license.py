@@ -22,7 +22,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound
+from .common import LOWER, UPPER, bound
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -42,6 +42,16 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
     ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights under cc0", ("cc0",)),
+    ("mit-notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ("above copyright notice and this permission notice",)),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ("in no event will the authors be held liable",)),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software", ("free and unencumbered software",)),
+    ("agpl-3.0", "gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version", ("affero general public license",)),
+    ("apache-2.0-notice", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ("except in compliance with the license",)),
+    ("bsl-1.0", "distributed under the boost software license version 1 0", ("boost software license",)),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("neither the name of", "endorse or promote products")),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0", ("eclipse public license",)),
+    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
     ("proprietary", "copyright all rights reserved", ("all rights reserved",)),
 )
 
@@ -60,7 +70,7 @@ def postings() -> dict[str, list[tuple[int, int]]]:
 
 def normal(text: Column) -> Column:
     """Lower-cased words between single blanks, with one at either end; one blank if there are none."""
-    lower = F.lower(F.coalesce(text, F.lit("")))  # beyond A-Z it only maps word characters to word characters
+    lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     return F.regexp_replace(F.concat(F.lit(" "), lower, F.lit(" ")), NOT_WORD, " ")
 
 
