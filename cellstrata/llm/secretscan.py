@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound
+from .common import bound, stored
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,8 @@ RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "1"),
 )
 
+#: Matches of one text whose offsets are summed up together.
+CHUNK = 256
 SPANS = "array<struct<start:int,rank:int,kind:string,stop:int>>"
 
 
@@ -61,17 +63,28 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
         pieces = F.transform(F.split(text, rule.pattern, -1), lambda piece: F.length(piece))
         checked = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), lambda part: F.length(part))
         steps = F.arrays_zip(F.transform(hits, lambda hit: F.length(hit)).alias("hit"), checked.alias("part"), pieces.alias("gap"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
-
-        def step(state: Column, x: Column) -> Column:
-            begin = state["at"] + x["gap"]
-            end = begin + F.coalesce(x["hit"], F.lit(0))
-            one = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("stop")))
-            good = F.coalesce(x["part"] >= rule.at_least, F.lit(False))
-            return F.struct(end.alias("at"), F.when(good, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"))
-
+        return F.flatten(bound(steps, in_chunks))
+
+    def in_chunks(steps: Column) -> Column:
+        """Running sums within CHUNK steps, from where the steps before end, so that no array grows by one element many times."""
+        n = F.size(steps)
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / CHUNK), F.lit(0)).cast("int")), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK))
+        length = lambda part: F.aggregate(part, F.lit(0), lambda total, x: total + x["gap"] + F.coalesce(x["hit"], F.lit(0)))
+        lengths = F.transform(parts, length)
+        ends = F.aggregate(lengths, F.array(F.lit(0)), lambda all_, x: F.concat(all_, F.array(F.element_at(all_, -1) + x)))
+        return bound(ends, lambda at: F.transform(parts, lambda part, k: of_chunk(part, F.get(at, k))))
+
+    def of_chunk(steps: Column, begin: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.array().cast(SPANS).alias("found"))
         return F.aggregate(steps, start, step)["found"]
 
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + x["gap"]
+        end = begin + F.coalesce(x["hit"], F.lit(0))
+        one = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("stop")))
+        good = F.coalesce(x["part"] >= rule.at_least, F.lit(False))
+        return F.struct(end.alias("at"), F.when(good, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"))
+
     none = F.array().cast(SPANS)
     every = bound(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), walk)
     return F.when(F.rlike(text, F.lit(rule.pattern)), every).otherwise(none)
@@ -122,11 +135,26 @@ def _joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def scanned(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES, batches=None) -> tuple[DataFrame, DataFrame]:
+    """Findings and ledger of several scans, one for each batch of rules, each of which skips what the ledger has by then."""
+    findings = None
+    for own in batches or (rules,):
+        new, pairs = scan(versions, ledger, own)
+        ledger = stored(pairs if ledger is None else ledger.unionByName(pairs))
+        findings = new if findings is None else findings.unionByName(new)
+    every = findings.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return every, ledger
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    """The findings of every document, as counts, a hash of the base spans, and all spans."""
+    """The findings of every document, as counts, a hash of the base spans, and all spans.
+
+    The base rules are scanned first; the method's own rules then find the base
+    pairs in the ledger and scan the others only.
+    """
     versions = addressed(docs, "doc_id", "text")
-    findings, _ = scan(versions)
     base = [i for i, r in enumerate(RULES) if r.base]
+    findings, _ = scanned(versions, batches=(tuple(RULES[i] for i in base), RULES))
     in_base = F.filter("spans", lambda s: s["rank"].isin(base))
 
     def count(kind: str) -> Column:
