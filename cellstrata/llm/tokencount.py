@@ -8,10 +8,15 @@ until a new pre-token ends where an old leaf ended after the edit: from there on
 both texts are cut alike. Only the touched leaves and their paths to the root
 change.
 
+Trees are kept: with_trees() gives each document's leaves as a column of its row,
+to be stored, and edited() takes rows with leaves and edits and gives the rows
+after them, leaves included, for the next edits. A document's text, leaves and
+edits stand in one row, so neither step shuffles.
+
 Null and empty texts have a tree without leaves and no tokens. Repeated rows
-and ties get equal results. Special tokens' strings are ordinary text. Columns
-other than the named ones aren't read. An empty table gives an empty result.
-Texts are read whole.
+and ties get equal results. Special tokens' strings are ordinary text. Further
+columns come through; those of the names that a step adds are replaced. An empty
+table gives an empty result. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -26,6 +31,9 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from .common import stored
 
 #: Where the ranks of the vocabulary are, and the pattern that cuts pre-tokens (fixed with the vocabulary).
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -144,36 +152,66 @@ def edit(tree: Tree, text: str, at: int, removed: int, inserted: str, counter: C
     return tree, new, sum(lengths)
 
 
-def counted(docs: DataFrame, edits: DataFrame | None = None, path: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens, n_leaves, and after the edits n_tokens_after and n_reencoded (characters).
+LEAVES = "array<struct<chars:int,tokens:int>>"
+
+
+def leaves_of(tree: Tree) -> list[dict]:
+    own = slice(tree.base, tree.base + tree.leaves)
+    return [{"chars": c, "tokens": t} for c, t in zip(tree.chars[own].tolist(), tree.tokens[own].tolist(), strict=True)]
+
+
+def tree_of(leaves: pa.ListScalar) -> Tree:
+    """The tree of stored leaves; nothing is encoded."""
+    own = leaves.values
+    if own is None or not len(own):
+        return Tree(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return Tree(*(own.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("chars", "tokens")))
+
+
+def with_trees(docs: DataFrame, path: str = RANKS, text: str = "text", out: str = "tree") -> DataFrame:
+    """docs with the leaves of each text's tree; store it, so that later edits needn't encode the texts again."""
+    kept = [c for c in docs.columns if c != out]
+    schema = docs.select(*kept).withColumn(out, F.lit(None).cast(LEAVES)).schema
+    kind = to_arrow_type(schema[out].dataType)
 
-    edits: doc_id and edits, an array of structs (at, removed, inserted) that
-    are applied in order, one row for each doc_id at most. Documents without
-    edits keep their counts. None: docs has such a column `edits` itself.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(path)
+        for batch in batches:
+            made = pa.array([leaves_of(build(t.as_py(), counter)) for t in batch.column(text)], kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*kept, out])
+
+    return docs.select(*kept).mapInArrow(run, schema)
+
+
+def edited(docs: DataFrame, edits: str = "edits", path: str = RANKS, text: str = "text", tree: str = "tree") -> DataFrame:
+    """docs with text and tree after the edits, and n_tokens, n_leaves (before), n_tokens_after and n_reencoded (characters).
+
+    docs has the leaves that with_trees() or an earlier edited() gave, and
+    `edits`: an array of structs (at, removed, inserted), applied in order; null
+    for none. Only what edits touch is encoded. Store the result for the next.
     """
-    if edits is None:
-        both = docs.select("doc_id", "text", "edits")
-    else:
-        own = edits.select(F.col("doc_id").alias("__id"), "edits")
-        both = docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "edits")
-    kind = dict(both.dtypes)["doc_id"]
+    names = ["n_tokens", "n_leaves", "n_tokens_after", "n_reencoded"]
+    kept = [c for c in docs.columns if c not in (edits, text, tree, *names)]
+    schema = docs.select(*kept, text, tree).withColumns({n: F.lit(0).cast("long") for n in names}).schema
+    kind = to_arrow_type(schema[tree].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for batch in batches:
-            rows = []
-            for text, changes in zip(batch.column("text"), batch.column("edits"), strict=True):
-                text = text.as_py() or ""
-                tree = build(text, counter)
-                before, leaves, anew = tree.total, tree.leaves, 0
+            texts, trees, rows = [], [], []
+            for own, leaves, changes in zip(batch.column(text), batch.column(tree), batch.column(edits), strict=True):
+                now, old = tree_of(leaves), own.as_py()
+                before, n_leaves, anew, new = now.total, now.leaves, 0, old
                 for change in changes.as_py() or []:
-                    tree, text, n = edit(tree, text, change["at"] or 0, change["removed"] or 0, change["inserted"] or "", counter)
+                    now, new, n = edit(now, new or "", change["at"] or 0, change["removed"] or 0, change["inserted"] or "", counter)
                     anew += n
-                rows.append((before, leaves, tree.total, anew))
-            columns = [pa.array([r[c] for r in rows], pa.int64()) for c in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "n_leaves", "n_tokens_after", "n_reencoded"])
+                texts.append(new)
+                trees.append(leaves_of(now))
+                rows.append((before, n_leaves, now.total, anew))
+            counts = [pa.array([r[c] for r in rows], pa.int64()) for c in range(4)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string()), pa.array(trees, kind), *counts], [*kept, text, tree, *names])
 
-    return both.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_leaves long, n_tokens_after long, n_reencoded long")
+    return docs.select(*kept, text, tree, edits).mapInArrow(run, schema)
 
 
 #: The edit that digest() makes to every document: some characters at a place that its id gives become these.
@@ -181,7 +219,9 @@ EDIT_REMOVES, EDIT_INSERTS = 7, " an edited passage, 2nd version "
 
 
 def digest(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """Token counts of every document, before and after one edit."""
+    """Token counts of every document from its stored tree, before and after one edit."""
     at = F.pmod(F.xxhash64("doc_id"), F.length(F.coalesce("text", F.lit(""))) + 1).cast("int")
     change = F.struct(at.alias("at"), F.lit(EDIT_REMOVES).alias("removed"), F.lit(EDIT_INSERTS).alias("inserted"))
-    return counted(docs.select("doc_id", "text", F.array(change).alias("edits")), path=path)
+    trees = stored(with_trees(docs.select("doc_id", "text"), path))
+    found = edited(trees.withColumn("edits", F.array(change)), path=path)
+    return found.select("doc_id", "n_tokens", "n_leaves", "n_tokens_after", "n_reencoded")
