@@ -8,7 +8,7 @@ grows, rows move only into that child's subtree; other draws don't change.
 doc_id alone places a row: equal texts go where their ids say. A null doc_id
 is hashed as no value, so all such rows share a shard. Repeated rows share a
 shard and get slots of their own; ties are broken by the text's hash. Null
-texts count as no bytes. Columns other than doc_id and text aren't read by
+texts count as no bytes, very long ones like any other. Columns other than doc_id and text aren't read by
 digest(); assign() replaces a column of the name it adds. An empty table gives
 an empty result.
 """
@@ -20,10 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_offsets
+from .common import parts_for, with_offsets
 
-#: Parts of a shard in which rows are numbered apart; see with_offsets.
-BUCKETS = 256
 OVERHEAD = 16
 
 
@@ -104,5 +102,5 @@ def digest(docs: DataFrame, root: Node | None = None) -> DataFrame:
         "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")
     )
     both = assign(assign(slim, root), grown(root), "grown_shard")
-    slots = with_offsets(both, "shard", [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.lit(1).cast("long"), "slot", BUCKETS)
+    slots = with_offsets(both, "shard", [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.lit(1).cast("long"), "slot", parts_for(docs.count()))
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

@@ -85,6 +85,13 @@ def test_secrets(docs, by_id):
         assert tuple(r)[1:5] == plain(by_id[r.doc_id])
 
 
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"{'x' * (k % 7)}token={k:09d}" for k in range(1500))
+    (r,) = secretscan.digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    want = [f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"token=\d+", text)]
+    assert r.spans.split(",") == want and r.n_assign == 1500
+
+
 def test_secret_ledger_scans_only_what_is_new(docs):
     versions = secretscan.addressed(docs, "doc_id", "text")
     findings, ledger = secretscan.scan(versions)
@@ -168,6 +175,19 @@ def test_mixing(docs, by_id):
     for s in names:
         assert taken[s] == pytest.approx(want[s], abs=0.51)
     assert sorted(rows) == sorted(mixing.digest(docs.repartition(3)).collect())
+    placed, draws = mixing.mixed(docs)
+    laid = {}
+    for r in draws.select("number", "slot", "shard").distinct().collect():
+        laid.setdefault(r.number, {})[r.slot] = r.shard
+    for number, slots in laid.items():  # slots go to the shards in order, as many as were drawn
+        n = max(slots) + 1
+        counts = mixing.shard_counts(n, number, mixing.OUTPUT_SHARDS, mixing.SEED)
+        assert sum(counts) == n and [slots[k] for k in range(n)] == np.repeat(np.arange(len(counts)), counts).tolist()
+    by_place = {(r.number, r.offset): r.doc_id for r in placed.collect() if r.size}
+    shards_of = {}
+    for r in draws.collect():
+        shards_of.setdefault(by_place[r.number, r.offset], set()).add(r.shard)
+    assert {r.doc_id: r.n_shards for r in rows if r.n_shards} == {k: len(v) for k, v in shards_of.items()}
     made = Counter()
     for r in mixing.mix_documents(docs).collect():
         made[r.doc_id] += len(words(r.text))
@@ -257,6 +277,15 @@ def test_decontamination(spark, docs, by_id):
     assert {x.doc_id for x in decontam.clean(table, bench).collect()} == {k for k, _ in rows} - {k for k, _ in want}
 
 
+def test_decontamination_tells_where(spark):
+    item = "the quick brown fox jumps over the lazy dog while seven wizards box quietly at dawn"
+    own = item.replace("quick", "quik").replace("dawn", "dawnn")
+    table = spark.createDataFrame([(1, f"before it all {own} and after")], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", item)], "item_id string, text string")
+    (r,) = decontam.digest(table, bench).collect()
+    assert (r.item_id, r.edits, r.start) == ("a", 1, len("before it all ")) and r.stop == r.start + len(own) - 1
+
+
 def test_token_counts_after_edits():
     counter, own = tokencount.Counter(), tokencount.encoding(tokencount.RANKS)
     r = random.Random(4)
@@ -272,7 +301,27 @@ def test_token_counts_after_edits():
 
 def test_token_count_query(docs, by_id):
     own = tokencount.encoding(tokencount.RANKS)
-    assert {r.doc_id: r.n_tokens for r in tokencount.digest(docs).collect()} == {i: len(own.encode_ordinary(t)) for i, t in by_id.items()}
+    rows = tokencount.digest(docs).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(own.encode_ordinary(t)) for i, t in by_id.items()}
+    assert all(r.n_reencoded < len(by_id[r.doc_id]) / 2 for r in rows if len(by_id[r.doc_id]) > 3000)
+
+
+def test_stored_trees_take_edits_run_after_run(spark, docs, by_id, tmp_path):
+    own, want = tokencount.encoding(tokencount.RANKS), dict(by_id)
+    now = tokencount.with_trees(docs.select("doc_id", "text", "lang"))
+    for turn in range(2):
+        now.write.parquet(str(tmp_path / f"trees{turn}"))
+        change = [(3 + turn, 5, f" turn {turn}'s words"), (0, 1, "é")]
+        edits = spark.createDataFrame([(change,)], "edits array<struct<at:int,removed:int,inserted:string>>")
+        now = tokencount.edited(spark.read.parquet(str(tmp_path / f"trees{turn}")).crossJoin(edits))
+        for i, t in want.items():
+            for at, gone, more in change:
+                at = min(at, len(t))
+                t = t[:at] + more + t[at + gone :]
+            want[i] = t
+        rows = now.collect()
+        assert {r.doc_id: r.text for r in rows} == want
+        assert {r.doc_id: r.n_tokens_after for r in rows} == {i: len(own.encode_ordinary(t)) for i, t in want.items()}
 
 
 def plain_repeats(data, length):
@@ -349,7 +398,7 @@ def odd_rows(spark, n=1):
     long = "word " * 30_000
     rows = [(None, None, None, None, None), (None, "a b", "en", None, 3), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, long, None, "s", len(long)), (3, "tie tie tie", "en", "t", 11), (4, "tie tie tie", "en", "t", 11), (5, "nul \x00 byte \U0001f600 text", "en", "", 20)]
     base = spark.createDataFrame(rows if n else [], "doc_id long, text string, lang string, source string, n_chars long")
-    for extra in ("size", "shard", "slot", "fp", "key", "component", "runs", "data", "words", "hits", "line", "number", "offset", "failed_rule", "taken", "blob", "path", "edits", "__key"):
+    for extra in ("size", "shard", "slot", "fp", "key", "component", "runs", "data", "words", "hits", "line", "number", "offset", "failed_rule", "taken", "blob", "path", "edits", "__key", "copies", "turn", "kept", "n_words", "tree", "row"):
         base = base.selectExpr("*", f"7 AS `{extra}`")
     return base
 
@@ -357,12 +406,10 @@ def odd_rows(spark, n=1):
 @pytest.mark.parametrize("name", list(DIGESTS))
 def test_odd_rows(spark, name):
     docs = odd_rows(spark)
-    if name == "op1":
-        docs = docs.drop("edits")
     got = DIGESTS[name](docs).collect()
     assert len(got) == 8
     assert Counter(r.doc_id for r in got) == Counter({None: 2, 1: 2, 2: 1, 3: 1, 4: 1, 5: 1})
-    assert DIGESTS[name](odd_rows(spark, 0).drop("edits")).collect() == []
+    assert DIGESTS[name](odd_rows(spark, 0)).collect() == []
 
 
 def test_odd_rows_decontamination(spark):
@@ -393,6 +440,7 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     for n in (1, 0):
         docs = odd_rows(spark, n)
         for _, stage in corpus_pipeline.STAGES[:4]:
-            assert stage(spark, docs, str(tmp_path)).columns == docs.columns
-            stage(spark, docs, str(tmp_path)).collect()
+            rows = stage(spark, docs, str(tmp_path))
+            assert rows.columns == docs.columns
+            assert all(r.failed_rule == 7 and r.copies == 7 and r.size == 7 for r in rows.collect())
         assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() == docs.count()
