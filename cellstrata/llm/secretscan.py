@@ -13,6 +13,7 @@ whole; offsets count code points, ends exclusive.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,11 +117,14 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES) -> t
     Findings: blob and spans, for blobs with any. Ledger: blob and rule, one row
     for each pair scanned now; append it to the ledger once findings are stored.
     """
-    todo = unseen(versions, ledger, rules)
-    one = versions.join(todo.withColumnRenamed("blob", "__blob"), (F.col("blob") == F.col("__blob")) & F.col("path").eqNullSafe(F.col("holder")))
-    found = F.concat(
-        *[F.when(F.array_contains("todo", r.key), spans(F.col("content"), r, i)).otherwise(F.array().cast(SPANS)) for i, r in enumerate(rules)]
-    )
+    todo = stored(unseen(versions, ledger, rules))
+    pending = {row["rule"] for row in todo.select(F.explode("todo").alias("rule")).distinct().collect()}  # one for each rule at most
+    own = [(i, r) for i, r in enumerate(rules) if r.key in pending]
+    hit = reduce(lambda a, b: a | b, [F.rlike("content", F.lit(r.pattern)) for _, r in own], F.lit(False))
+    # Texts that no pending rule hits stay where they are; only the others meet the ledger's answer.
+    one = versions.where(hit).join(todo.withColumnRenamed("blob", "__blob"), (F.col("blob") == F.col("__blob")) & F.col("path").eqNullSafe(F.col("holder")))
+    none = F.array().cast(SPANS)
+    found = F.concat(none, *[F.when(F.array_contains("todo", r.key), spans(F.col("content"), r, i)).otherwise(none) for i, r in own])
     findings = one.select("blob", F.sort_array(found).alias("spans")).where(F.size("spans") > 0)
     return findings.groupBy("blob").agg(F.first("spans").alias("spans")), todo.select("blob", F.explode("todo").alias("rule"))
 
