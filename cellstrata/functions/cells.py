@@ -150,14 +150,18 @@ def common_levels(low: Column, high: Column) -> Column:
     return F.floor((bits + 1) / 2).cast("int")
 
 
-def common_ancestor(cell, order: int) -> Column:
-    """Aggregate: nuniq of the least cell that holds all of a group's cells; null if they have different faces."""
-    low, high = F.min(_col(cell)), F.max(_col(cell))
+def ancestor_of(low: Column, high: Column, order: int) -> Column:
+    """nuniq of the least cell that holds both cells; null if they have different faces."""
     up = common_levels(low, high)
     shifts = F.element_at(F.array(*[F.shiftright(low, 2 * k) + (4 << (2 * (order - k))) for k in range(order + 1)]), F.least(up, F.lit(order)) + 1)
     return F.when(up <= order, shifts)
 
 
+def common_ancestor(cell, order: int) -> Column:
+    """Aggregate: nuniq of the least cell that holds all of a group's cells; null if they have different faces."""
+    return ancestor_of(F.min(_col(cell)), F.max(_col(cell)), order)
+
+
 def label(cell, order: int) -> Column:
     """A cell as text: hemisphere sign and base, then a digit from 1 to 4 for each order."""
     cell = _col(cell)
@@ -227,6 +231,11 @@ class RectGrid:
         row, col = F.floor(cell / self.width), F.pmod(cell, F.lit(self.width))
         return self.xmin + (col + 0.5) * self.rx, self.ymax - (row + 0.5) * self.ry
 
+    def nests_with(self, other: object, fields: tuple = (), other_fields: tuple = ()) -> bool:
+        """Whether products on both grids have the same cells and fields; tiles may differ."""
+        same = isinstance(other, RectGrid) and all(getattr(self, k) == getattr(other, k) for k in ("xmin", "ymin", "xmax", "ymax", "rx", "ry", "crs"))
+        return same and tuple(fields) == tuple(other_fields)
+
     def signature(self) -> dict:
         return {"type": "rectilinear"} | {k: getattr(self, k) for k in self.__dataclass_fields__}
 
@@ -254,9 +263,9 @@ class HealpixGrid:
     def signature(self) -> dict:
         return {"type": "healpix", "parent_order": self.parent_order, "child_order": self.child_order, "chunk_order": self.chunk_order}
 
-    def nests_with(self, other: HealpixGrid) -> bool:
-        """Whether the other's shards are unions or parts of this one's and both have the same cells."""
-        return self.child_order == other.child_order
+    def nests_with(self, other: object, fields: tuple = (), other_fields: tuple = ()) -> bool:
+        """Whether products on both grids can stand in one hierarchy: nested cells do at any orders, if the output fields are the same."""
+        return isinstance(other, HealpixGrid) and tuple(fields) == tuple(other_fields)
 
 
 def project(crs: str, lat, lon) -> tuple[Column, Column]:

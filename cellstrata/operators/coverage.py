@@ -16,18 +16,50 @@ def ranges(cells: DataFrame, cell: str, order) -> DataFrame:
     return cells.select((F.col(cell) * power).alias("lo"), ((F.col(cell) + 1) * power).alias("hi"))
 
 
-def union(*sets: DataFrame, face_bits: int = 2 * MAX_ORDER) -> DataFrame:
-    """Ranges that touch or overlap become one (gaps and islands), within each base cell, by which the work is dealt."""
+#: Order of the cells by which set operations are dealt out; ranges are cut at their edges and joined again.
+DEAL_ORDER = 5
+
+
+def _dealt(ranges_: DataFrame, order: int) -> DataFrame:
+    """__bucket, lo, hi: ranges cut at the edges of the cells of an order.
+
+    A range over very many cells is cut in two steps, so that no task expands it
+    alone.
+    """
+    shift = 2 * (MAX_ORDER - order)
+    for step in (2 * (MAX_ORDER - order // 2), shift):
+        first, last = F.shiftright("lo", step), F.shiftright(F.col("hi") - 1, step)
+        cut = ranges_.select("lo", "hi", F.explode(F.sequence(first, last)).alias("__bucket"))
+        low, high = F.greatest("lo", F.shiftleft("__bucket", step)), F.least(F.col("hi"), F.shiftleft(F.col("__bucket") + 1, step))
+        ranges_ = cut.select("__bucket", low.alias("lo"), high.alias("hi"))
+    return ranges_
+
+
+def union(*sets: DataFrame, deal_order: int = DEAL_ORDER) -> DataFrame:
+    """Ranges that touch or overlap become one.
+
+    Gaps and islands within each coarse cell; then islands that end where a
+    cell ends meet those that start there. That second pass has at most two
+    rows for each coarse cell, so its windows are small whatever the sets hold.
+    """
     every = sets[0].select("lo", "hi")
     for s in sets[1:]:
         every = every.unionByName(s.select("lo", "hi"))
-    face = F.shiftright("lo", face_bits)
-    w = Window.partitionBy("__face").orderBy("lo", "hi")
-    marked = every.distinct().withColumn("__face", face)
+    inner = _islands(_dealt(every.distinct(), deal_order), ["__bucket"])
+    shift = 2 * (MAX_ORDER - deal_order)
+    mask = (1 << shift) - 1
+    at_edge = (F.col("lo").bitwiseAND(F.lit(mask)) == 0) | (F.col("hi").bitwiseAND(F.lit(mask)) == 0)
+    edges = inner.where(at_edge).withColumn("__face", F.shiftright("lo", 2 * MAX_ORDER))
+    return inner.where(~at_edge).select("lo", "hi").unionByName(_islands(edges.drop("__bucket"), ["__face"]).select("lo", "hi"))
+
+
+def _islands(ranges_: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, lo, hi: ranges of a group that touch or overlap, as one."""
+    w = Window.partitionBy(*keys).orderBy("lo", "hi")
     reach = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    started = marked.withColumn("__new", (reach.isNull() | (F.col("lo") > reach)).cast("int"))
+    started = ranges_.withColumn("__new", (reach.isNull() | (F.col("lo") > reach)).cast("int"))
     numbered = started.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("__face", "__island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", "hi")
+    return numbered.groupBy(*keys, "__island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("__island")
 
 
 def intersection(a: DataFrame, b: DataFrame, bucket_order: int = 3) -> DataFrame:
@@ -82,16 +114,16 @@ def compacted(cells: DataFrame, cell: str, order: int, top: int = 0) -> DataFram
 
 
 def box(cells: DataFrame, shard: str, cell: str, order: int) -> DataFrame:
-    """At most four cells, of one order, that hold each shard's cells: the first order at which no more than four do."""
-    rows = None
-    for levels in range(order + 1):
-        one = cells.groupBy(shard).agg(F.collect_set(F.shiftright(cell, 2 * levels)).alias("box")).where(F.size("box") <= 4)
-        one = one.select(shard, F.lit(order - levels).alias("box_order"), F.sort_array("box").alias("box"))
-        rows = one if rows is None else rows.unionByName(one)
-        if levels >= 6:
-            break
-    best = Window.partitionBy(shard).orderBy(F.desc("box_order"))
-    return rows.withColumn("__n", F.row_number().over(best)).where("__n = 1").drop("__n")
+    """At most four cells, of one order, that hold each shard's cells: the finest order at which no more than four do.
+
+    Cells are counted at all orders in one aggregation of distinct ancestors;
+    a shard whose cells share fewer than four faces always gets a box.
+    """
+    spread = cells.select(shard, F.posexplode(F.array(*[F.shiftright(cell, 2 * k) for k in range(order + 1)])).alias("__up", "__cell")).distinct()
+    counted = spread.groupBy(shard, "__up").agg(F.count("*").alias("n"))
+    finest = counted.where("n <= 4").groupBy(shard).agg(F.min("__up").alias("__best"))
+    kept = spread.withColumnRenamed(shard, "__s").join(finest, (F.col("__s") == F.col(shard)) & (F.col("__up") == F.col("__best")))
+    return kept.groupBy(shard).agg((F.lit(order) - F.first("__best")).alias("box_order"), F.sort_array(F.collect_list("__cell")).alias("box"))
 
 
 def bitmap(cells: DataFrame, shard: str, cell: str, levels: int) -> DataFrame:
@@ -103,10 +135,19 @@ def bitmap(cells: DataFrame, shard: str, cell: str, levels: int) -> DataFrame:
     return seen.select(shard, text.alias("bitmap"), F.size("__bits").alias("n"))
 
 
-def masked(cells: DataFrame, cell: str, order: int, aoi: DataFrame, name: str = "in_aoi") -> DataFrame:
-    """cells with whether they lie in a set of ranges; none is dropped."""
-    inside = to_order(aoi, order).withColumnRenamed("cell", "__cell").withColumn("__in", F.lit(True))
-    return cells.join(inside, cells[cell] == inside["__cell"], "left").withColumn(name, F.coalesce("__in", F.lit(False))).drop("__cell", "__in")
+def masked(cells: DataFrame, cell: str, order: int, aoi: DataFrame, name: str = "in_aoi", deal_order: int = DEAL_ORDER) -> DataFrame:
+    """cells with whether they meet a set of ranges; none is dropped.
+
+    The set is made disjoint and cut at coarse cells, each of which has the list
+    of its parts; a cell looks only at that of its own. So the set is never
+    expanded to cells, at any order.
+    """
+    deal = min(deal_order, order)
+    parts = _dealt(union(aoi), deal).groupBy("__bucket").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__parts"))
+    low, high = F.shiftleft(F.col(cell), 2 * (MAX_ORDER - order)), F.shiftleft(F.col(cell) + 1, 2 * (MAX_ORDER - order))
+    keyed = cells.withColumn("__own", F.shiftright(F.col(cell), 2 * (order - deal)))
+    met = F.exists("__parts", lambda p: (p["lo"] < high) & (p["hi"] > low))
+    return keyed.join(parts, F.col("__own") == F.col("__bucket"), "left").withColumn(name, F.coalesce(met, F.lit(False))).drop("__own", "__bucket", "__parts")
 
 
 def in_polygon(x, y, ring: list[tuple[float, float]]) -> Column:
