@@ -47,13 +47,13 @@ def compress(members: np.ndarray, delta: float) -> tuple[np.ndarray, np.ndarray]
     return np.stack([sums[:, 0] / sums[:, 1], sums[:, 1]], axis=1).astype(np.float32), first
 
 
-def members(values, weights=None) -> tuple[np.ndarray, np.ndarray]:
-    """The finite values with positive finite weights, in order of value and weight, and where they stood."""
+def members(values, weights=None, ties=()) -> tuple[np.ndarray, np.ndarray]:
+    """The finite values with positive finite weights, in order of value, weight and ties (further columns), and where they stood."""
     values = np.asarray(values, np.float64)
     weights = np.ones(len(values)) if weights is None else np.asarray(weights, np.float64)
     with np.errstate(invalid="ignore"):
         good = np.flatnonzero(np.isfinite(values) & np.isfinite(weights) & (weights > 0))
-    good = good[np.lexsort((weights[good], values[good]))]
+    good = good[np.lexsort((*[t[good] for t in reversed(ties)], weights[good], values[good]))]
     return np.stack([values[good], weights[good]], axis=1), good
 
 

@@ -109,3 +109,30 @@ def time_union(start, end) -> list[Column]:
     """Aggregates: the envelope of spans; those that end before they start don't count."""
     good = F.col(start) <= F.col(end)
     return [F.min(F.when(good, F.col(start))).alias("start"), F.max(F.when(good, F.col(end))).alias("end")]
+
+
+def micros(ts) -> Column:
+    """Microseconds since 1970 (UTC) of an instant; one without a zone is UTC, as the session's."""
+    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+
+
+def envelope_words(start, end) -> Column:
+    """A time axis's envelope as two words of nanoseconds; an envelope that ends before it starts is refused."""
+    start, end = (F.col(x) if isinstance(x, str) else x for x in (start, end))
+    low, high = micros(start) * 1000, micros(end) * 1000
+    return F.struct(low.alias("start"), F.when(high < low, F.raise_error(F.lit("an envelope ends before it starts")).cast("long")).otherwise(high).alias("end"))
+
+
+def from_words(words) -> tuple[Column, Column]:
+    """Instants of an envelope's words, to the microsecond."""
+    words = F.col(words) if isinstance(words, str) else words
+    return F.timestamp_micros(F.floor(words["start"] / 1000)), F.timestamp_micros(F.floor(words["end"] / 1000))
+
+
+def within(ts, start: str | None, end: str | None) -> Column:
+    """Temporal bounds of a run: half-open, either side may be open."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    good = F.lit(True)
+    if start is not None:
+        good = good & (ts >= F.lit(parse(start)))
+    return good & (ts < F.lit(parse(end))) if end is not None else good

@@ -58,9 +58,43 @@ def coerced(value: Column, f: Field) -> Column:
     return F.when(wide != F.floor(wide), F.raise_error(F.lit(f"{f.name} is not integral")).cast(KINDS[f.dtype])).otherwise(value.cast(KINDS[f.dtype]))
 
 
+#: Functions that a share of the sorted values gives, with the share of those that take no parameter.
+QUANTILES = {"median": 0.5, "quantile": None}
+
+
+def _share(f: Field) -> float | None:
+    """The share that a quantile field asks for, if it is a constant."""
+    name = (f.function or "").removeprefix("np.")
+    if name not in QUANTILES:
+        return None
+    given = [p for p in f.params.values() if not isinstance(p, str)]
+    return QUANTILES[name] if QUANTILES[name] is not None else given[0] if len(given) == 1 else None
+
+
 def by_cell(df: DataFrame, fields: list[Field], keys: list[str]) -> DataFrame:
-    """One row for each cell (and window) that has rows. Partial sums merge before the shuffle wherever the function allows."""
-    return df.groupBy(*keys).agg(*[f.column(df.columns) for f in fields])
+    """One row for each cell (and window) that has rows. Partial sums merge before the shuffle wherever the function allows.
+
+    Quantiles of one source share one sorted state, and are taken from it together.
+    """
+    shares: dict[str, list[float]] = {}
+    for f in fields:
+        if (q := _share(f)) is not None and q not in shares.setdefault(f.source, []):
+            shares[f.source].append(q)
+    shared = {s: qs for s, qs in shares.items() if len(qs) > 1}
+    aggs = [F.percentile(F.col(s).cast("double"), F.array(*[F.lit(q) for q in qs])).alias(f"__q_{k}") for k, (s, qs) in enumerate(shared.items())]
+    aggs += [F.max(is_nan(F.col(s))).alias(f"__nan_{k}") for k, s in enumerate(shared)]
+    places = {s: k for k, s in enumerate(shared)}
+    own = [f for f in fields if not (_share(f) is not None and f.source in shared)]
+    found = df.groupBy(*keys).agg(*aggs, *[f.column(df.columns) for f in own]) if aggs or own else df.groupBy(*keys).agg()
+
+    def taken(f: Field) -> Column:
+        if f in own:
+            return F.col(f.name)
+        k = places[f.source]
+        value = F.get(F.col(f"__q_{k}"), F.lit(shared[f.source].index(_share(f))))
+        return coerced(F.coalesce(F.when(F.col(f"__nan_{k}"), F.lit(NAN)).otherwise(value), F.lit(NAN)), f).alias(f.name)
+
+    return found.select(*keys, *[taken(f) for f in fields]) if shared else found
 
 
 def with_chunk_scalars(df: DataFrame, chunk: str, scalars: dict[str, str]) -> DataFrame:
@@ -111,3 +145,30 @@ def chunk_uniform(df: DataFrame, chunk: str, value: str) -> DataFrame:
 
 def occupied(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).distinct()
+
+
+def ragged(df: DataFrame, keys: list[str], columns: list[str], name: str = "rows", where: Column | None = None) -> DataFrame:
+    """All rows of each cell as one sorted array: of values for one column, of structs for several."""
+    row = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.when(where, row) if where is not None else row)).alias(name))
+
+
+def envelope(df: DataFrame, keys: list[str], start: str, end: str | None = None) -> DataFrame:
+    """First and last instant of each cell's rows (or of each shard's, by its key); a cell without any instant fails."""
+    low, high = F.min(start), F.max(end or start)
+    return df.groupBy(*keys).agg(F.when(low.isNull(), F.raise_error(F.lit("no instant in a cell"))).otherwise(low).alias("start"), high.alias("end"))
+
+
+def shaped(df: DataFrame, column: str, length: int, inner: int | None = None) -> DataFrame:
+    """df; a vector that hasn't `length` values, or whose inner arrays haven't `inner`, fails the job."""
+    good = F.size(column) == length
+    if inner is not None:
+        good = good & F.forall(column, lambda x: F.size(x) == inner)
+    return df.withColumn(column, F.when(F.col(column).isNull() | good, F.col(column)).otherwise(F.raise_error(F.lit(f"{column} has another shape")).cast(dict(df.dtypes)[column])))
+
+
+def selected(shards: DataFrame, most: int | None = None, only: int | None = None, shard: str = "shard", by: str = "n") -> DataFrame:
+    """The shards to work on: one that is named, or the `most` with the largest `by`; ties go to the lesser number."""
+    if only is not None:
+        return shards.where(F.col(shard) == only)
+    return shards.orderBy(F.desc(by), shard).limit(most) if most is not None else shards

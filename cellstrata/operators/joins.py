@@ -76,3 +76,19 @@ def monthly_anomaly(df: DataFrame, climatology: DataFrame, value: str, ts: str,
     slim = climatology.select(F.col("month").alias("__month"), *keys, F.col(mean).alias("__mean"))
     joined = df.withColumn("__month", F.month(ts)).join(slim, ["__month", *keys], "left")
     return joined.withColumn(value, F.coalesce(F.col(value) - F.col("__mean"), F.lit(float("nan")))).drop("__month", "__mean")
+
+
+def aligned(cells: DataFrame, *others: DataFrame, keys: list[str], ts: str | None = None) -> DataFrame:
+    """cells with the columns of gridded tables at exactly the same coordinates; a table with the column ts is met at the same time too. Places that a table lacks go."""
+    out = cells
+    for other in others:
+        out = out.join(other, [*keys, ts] if ts and ts in other.columns else keys)
+    return out
+
+
+def disjoint(records: DataFrame, keys: list[str], begin: str, count: str) -> DataFrame:
+    """records; two whose sample intervals overlap fail the job."""
+    w = Window.partitionBy(*keys).orderBy(begin, count)
+    reach = F.max(F.col(begin) + F.col(count)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    bad = (F.col(count) > 0) & (F.col(begin) < reach)
+    return records.withColumn("__ok", F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit("records share samples"))).otherwise(F.lit(1))).where("__ok = 1").drop("__ok")

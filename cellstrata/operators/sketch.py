@@ -82,7 +82,7 @@ def build(df: DataFrame, keys: list[str], value: str, delta: float = 512, weight
     lists = df.groupBy(*keys).agg(F.collect_list(taken).alias("__rows"))
 
     def kernel(n: int, batch: pa.RecordBatch, columns: list[np.ndarray]) -> list[np.ndarray]:
-        rows, order = td.members(columns[0], columns[1])
+        rows, order = td.members(columns[0], columns[1], columns[2::2])
         digest, first = td.compress(rows, delta)
         return [digest[:, 0], digest[:, 1], *_spans(columns[2:], order, first)]
 

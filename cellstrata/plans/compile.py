@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ def run(spec: PipelineSpec, source: DataFrame) -> Result:
         cells = joined.groupBy(*keys).agg(*[f.column(df.columns, known) for f in spec.fields])
     else:
         cells = aggregate.by_cell(df, list(spec.fields), keys)
+    if spec.digests or spec.pyramid:
+        cells = cells.persist(StorageLevel.DISK_ONLY)  # read again by each level and digest
     for d in spec.digests:
         where = per_row(d.where, df.columns) if d.where else None
         cells = cells.join(sketch.build(df, keys, d.source, d.delta, d.weight, where, d.name), keys, "left")

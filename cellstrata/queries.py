@@ -231,11 +231,10 @@ def agg_12_histogram(spark, sf_dir):
     return found.select("r", F.concat_ws(",", F.transform("histogram", lambda n: n.cast("string"))).alias("histogram"))
 
 
-@query("agg_13_ragged", f"WITH {CELLS} SELECT cell, array_to_string(list(CAST(l_quantity AS INT) ORDER BY l_quantity), ',') AS rows FROM cells WHERE l_linenumber = 1 GROUP BY cell")
+@query("agg_13_ragged", f"WITH {CELLS} SELECT cell, array_to_string(list(CAST(l_quantity AS INT) ORDER BY l_quantity), ',') AS rows FROM cells GROUP BY cell")
 def agg_13_ragged(spark, sf_dir):
-    rows = F.sort_array(F.collect_list(F.col("l_quantity").cast("int")))
-    found = celled(spark, sf_dir).where("l_linenumber = 1").groupBy("cell").agg(rows.alias("rows"))
-    return found.select("cell", F.concat_ws(",", F.transform("rows", lambda v: v.cast("string"))).alias("rows"))
+    found = aggregate.ragged(celled(spark, sf_dir), ["cell"], ["l_quantity"])
+    return found.select("cell", F.concat_ws(",", F.transform("rows", lambda v: v.cast("int").cast("string"))).alias("rows"))
 
 
 @query("agg_15_chunk_scalars", f"""WITH {CELLS}, k AS (SELECT cell % 10 AS chunk, min(l_quantity) AS low FROM cells GROUP BY ALL)
@@ -266,7 +265,7 @@ def agg_18_composition(spark, sf_dir):
 
 @query("agg_23_time_envelope", f"WITH {CELLS} SELECT cell, min(l_shipdate) AS start, max(l_shipdate) AS \"end\" FROM cells GROUP BY cell")
 def agg_23_time_envelope(spark, sf_dir):
-    return celled(spark, sf_dir).groupBy("cell").agg(F.min("l_shipdate").alias("start"), F.max("l_shipdate").alias("end"))
+    return aggregate.envelope(celled(spark, sf_dir), ["cell"], "l_shipdate")
 
 
 @query("agg_24_common_ancestor", f"""WITH {CELLS}{FOUR}, e AS (SELECT l_orderkey AS k, min(h) AS lo, max(h) AS hi FROM marked GROUP BY l_orderkey)
@@ -283,37 +282,77 @@ def agg_27_stats_merge(spark, sf_dir):
     return rounded(identity.merged_stats(df, ["status"], ["n"], (), ["peak"], ["priority"], "latest", "ok"), 2)
 
 
-@query("agg_30_densify", f"""WITH {CELLS}{FOUR}, a AS (SELECT h, count(*) AS n, round(avg(l_quantity), 3) AS m FROM marked WHERE l_linenumber = 2 AND h < 64 GROUP BY h)
-  SELECT s.i AS h, s.i >> 4 AS shard, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(m, -1) AS m FROM range(64) s(i) LEFT JOIN a ON a.h = s.i""")
+@query("agg_30_densify", f"""WITH {CELLS}{FOUR}, a AS (SELECT h, count(*) AS n, round(avg(l_quantity), 3) AS m FROM marked GROUP BY h)
+  SELECT s.i AS h, s.i >> 4 AS shard, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(m, -1) AS m FROM range(4096) s(i) LEFT JOIN a ON a.h = s.i""")
 def agg_30_densify(spark, sf_dir):
     fields = [Field("n", "len", dtype="int64", fill=0), Field("m", "mean", "l_quantity", dtype="float64")]
-    df = nested(spark, sf_dir).where("l_linenumber = 2 and h < 64").withColumn("shard", cells.coarsen("h", 2))
-    shards = spark.range(4).select(F.col("id").alias("shard"))
+    df = nested(spark, sf_dir).withColumn("shard", cells.coarsen("h", 2))
+    shards = spark.range(256).select(F.col("id").alias("shard"))
     full = aggregate.densify(aggregate.by_cell(df, fields, ["h", "shard"]), shards, "h", "shard", 2, fields)
     return full.select("h", "shard", "n", F.round(F.nanvl("m", F.lit(-1.0)), 3).alias("m"))
 
 
-@query("sk_03_tdigest_exact", f"WITH {CELLS} SELECT cell % 1000 AS g, count(*) AS centroids, round(sum(l_quantity), 2) AS total FROM (SELECT * FROM cells WHERE l_linenumber = 1) GROUP BY ALL HAVING count(*) <= 512")
-def sk_03_tdigest_exact(spark, sf_dir):
-    df = celled(spark, sf_dir).where("l_linenumber = 1").withColumn("g", F.col("cell") % 1000)
-    found = sketch.build(df, ["g"], "l_quantity", 512)
-    total = F.aggregate("digest", F.lit(0.0), lambda a, c: a + c["mean"].cast("double") * c["weight"].cast("double"))
-    return found.where(F.size("digest") <= 512).select("g", F.size("digest").cast("long").alias("centroids"), F.round(total, 2).alias("total"))
+def _centroids(delta: int, extra: str = "", order: str = "") -> str:
+    """SQL of the centroids of l_quantity by rows of cells: the greedy k1 rule for unit weights, as jumps from first member to first member."""
+    room = f"floor(n * (1 + 1e-12) * (1 + sin(pi() * (least(({delta} * (asin(2.0 * pos / n - 1) / pi() + 0.5) + 1) / {delta}, 1.0) - 0.5))) / 2)"
+    return f"""WITH RECURSIVE {CELLS}, g AS (SELECT cell // 72 AS r, count(*) AS n FROM cells GROUP BY ALL),
+  j(r, n, i, pos) AS (SELECT r, n, 0, CAST(0 AS BIGINT) FROM g UNION ALL SELECT r, n, i + 1, greatest(pos + 1, least(n, CAST({room} AS BIGINT))) FROM j WHERE pos < n),
+  spans AS (SELECT * FROM (SELECT r, i, pos, lead(pos) OVER (PARTITION BY r ORDER BY i) AS stop FROM j) WHERE stop IS NOT NULL),
+  v AS (SELECT *, cell // 72 AS r, row_number() OVER (PARTITION BY cell // 72 ORDER BY l_quantity{order}) - 1 AS p FROM cells)
+  SELECT v.r, i, round(CAST(CAST(avg(l_quantity) AS FLOAT) AS DOUBLE), 3) AS mean, count(*) AS weight{extra} FROM v JOIN spans ON v.r = spans.r AND p >= pos AND p < stop GROUP BY ALL"""
 
 
-@query("sk_07_tdigest_quantile", f"WITH {CELLS} SELECT cell // 72 AS r, count(*) AS n FROM cells GROUP BY ALL")
+def _listed(found: DataFrame, *extra: str) -> DataFrame:
+    each = found.select("r", F.posexplode("digest").alias("i", "c"))
+    return each.select("r", "i", F.round(F.col("c.mean").cast("double"), 3).alias("mean"), F.col("c.weight").cast("long").alias("weight"), *[F.col(f"c.{e}").alias(e) for e in extra])
+
+
+def _by_row(spark, sf_dir) -> DataFrame:
+    return celled(spark, sf_dir).withColumn("r", F.floor(F.col("cell") / 72))
+
+
+@query("sk_03_tdigest_centroids", _centroids(64))
+def sk_03_tdigest_centroids(spark, sf_dir):
+    """Digests with loss: every centroid, over all rows."""
+    return _listed(sketch.build(_by_row(spark, sf_dir), ["r"], "l_quantity", 64))
+
+
+@query("sk_09_companions", _centroids(32, ", min(cell) AS low, max(cell) AS high, epoch_us(min(l_shipdate)) AS start, epoch_us(max(l_shipdate)) AS \"end\"", ", cell, l_shipdate"))
+def sk_09_companions(spark, sf_dir):
+    df = _by_row(spark, sf_dir).withColumn("__us", times.micros("l_shipdate"))
+    return _listed(sketch.build(df, ["r"], "l_quantity", 32, location="cell", time="__us"), "low", "high", "start", "end")
+
+
+_QS = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
+
+
+@query("sk_07_tdigest_quantile", f"WITH {CELLS}, g AS (SELECT cell // 72 AS r, list_sort(list(l_quantity)) AS x, count(*) AS n FROM cells GROUP BY ALL) SELECT r, n, "
+  + ", ".join(f"x[CAST(ceil({q} * (n - 1)) AS BIGINT) + 1] AS {name}" for name, q in _QS.items()) + " FROM g")
 def sk_07_tdigest_quantile(spark, sf_dir):
-    """Weights of merged digests sum to the rows; quantiles are in tests."""
-    df = celled(spark, sf_dir).withColumn("r", F.floor(F.col("cell") / 72))
-    merged = sketch.fold(sketch.build(df, ["r", "cell"], "l_extendedprice", 64), ["r"], delta=64)
+    """Quantiles of digests merged from those of cells, without loss."""
+    merged = sketch.fold(sketch.build(_by_row(spark, sf_dir), ["r", "cell"], "l_quantity", 1_000_000), ["r"], delta=1_000_000)
     weight = F.aggregate("digest", F.lit(0.0), lambda a, c: a + c["weight"].cast("double"))
-    return merged.select("r", F.round(weight).cast("long").alias("n"))
+    return sketch.quantiles(merged.withColumn("n", F.round(weight).cast("long")), "digest", _QS).drop("digest")
+
 
+@query("sk_04_pairwise_merge", f"WITH {CELLS} SELECT cell // 72 AS r, count(*) AS n, round(avg(l_quantity) + 0.0013, 2) AS mean FROM cells GROUP BY ALL")
+def sk_04_pairwise_merge(spark, sf_dir):
+    """Weights and sums go through merges two by two."""
+    merged = sketch.fold(sketch.build(_by_row(spark, sf_dir), ["r", "cell"], "l_quantity", 64), ["r"], delta=64, order="cell")
+    parts = [F.aggregate("digest", F.lit(0.0), lambda a, c: a + c["weight"].cast("double")), F.aggregate("digest", F.lit(0.0), lambda a, c: a + c["mean"].cast("double") * c["weight"].cast("double"))]
+    return merged.select("r", F.round(parts[0]).cast("long").alias("n"), F.round(parts[1] / parts[0] + 0.0013, 2).alias("mean"))
 
-@query("sk_11_rasterize")
+
+_EDGES = [0.0, 10.0, 20.0, 30.0, 40.0, 60.0]
+
+
+@query("sk_11_rasterize", f"""WITH {CELLS}, e AS (SELECT unnest({_EDGES}) AS e, unnest(range({len(_EDGES)})) AS k),
+  c AS (SELECT cell // 72 AS r, k, e, count(*) AS n, count(*) FILTER (l_quantity <= e) AS i, max(l_quantity) FILTER (l_quantity <= e) AS lo, min(l_quantity) FILTER (l_quantity > e) AS hi FROM cells, e GROUP BY ALL),
+  f AS (SELECT r, k, CASE WHEN i = 0 THEN 0 WHEN hi IS NULL THEN CASE WHEN lo = e THEN n - 0.5 ELSE n END ELSE i - 0.5 + (e - lo) / (hi - lo) END AS f FROM c)
+  SELECT r, k, round(next - f, 6) AS weight FROM (SELECT r, k, f, lead(f) OVER (PARTITION BY r ORDER BY k) AS next FROM f) WHERE next IS NOT NULL""")
 def sk_11_rasterize(spark, sf_dir):
-    df = celled(spark, sf_dir).withColumn("r", F.floor(F.col("cell") / 72))
-    return sketch.rasterized(sketch.build(df, ["r"], "l_quantity", 128), "digest", [float(e) for e in range(0, 60, 10)]).select("r", "bins")
+    found = sketch.rasterized(sketch.build(_by_row(spark, sf_dir), ["r"], "l_quantity", 1_000_000), "digest", _EDGES)
+    return found.select("r", F.posexplode("bins").alias("k", "weight")).select("r", F.col("k").cast("long").alias("k"), F.round("weight", 6).alias("weight"))
 
 
 _PYR = {"n": "len", "low": "min", "high": "max", "total": "sum"}

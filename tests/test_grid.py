@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from cellstrata.functions import cells, expressions, packing, tdigest, times
-from cellstrata.operators import aggregate, coverage, events, filters, identity, joins, pyramid, readplan, sketch
+from cellstrata.operators import aggregate, coverage, events, filters, footprints, identity, joins, pyramid, readplan, sketch, sweep
 from cellstrata.operators.aggregate import Field
 from cellstrata.plans import compile as plan
 from cellstrata.plans import registry, spec
-from cellstrata.sources import catalog, tables
+from cellstrata.sources import catalog, store, tables
+from cellstrata.sources.tables import ManifestMismatch
 from cellstrata.streaming import micro_batch
 
 
@@ -298,3 +299,94 @@ def test_streaming_equals_batch(spark, tmp_path):
 
 def test_entry_and_registry_agree():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_digest_cuts_are_the_greedy_rule():
+    """The jumps against the rule taken member by member, and sizes that are fixed by it."""
+    r = np.random.default_rng(3)
+    for weights, delta in ((np.ones(300), 16), (np.ones(40), 16), (r.exponential(size=500), 32), (np.where(np.arange(300) == 150, 5000.0, 1.0), 512), (np.ones(512), 512)):
+        total, starts, left, seen = weights.sum(), [0], 0.0, 0.0
+        for i, w in enumerate(weights):
+            right = float(tdigest.k1(np.array((seen + w) / total), delta))
+            if i > starts[-1] and right - left > 1 + 1e-9:
+                starts.append(i)
+                left = float(tdigest.k1(np.array(seen / total), delta))
+            seen += w
+        assert tdigest.cuts(weights, delta).tolist() == starts
+    # Weights of published digests of 300 and 40 members at delta 16.
+    assert np.diff(tdigest.cuts(np.ones(300), 16))[:6].tolist() == [2, 7, 12, 17, 21, 25]
+    assert np.diff(tdigest.cuts(np.ones(40), 16))[:6].tolist() == [1, 1, 2, 2, 3, 3]
+    assert np.isnan(tdigest.cdf(tdigest.EMPTY, [1.0])).all() and tdigest.rasterize(tdigest.EMPTY, [0, 1, 2]).tolist() == [0, 0]
+
+
+def test_pairwise_merges_keep_weight_and_pass_empty_sides():
+    a, b = tdigest.build(np.arange(900.0), delta=32), tdigest.build(np.arange(300.0, 500.0), delta=32)
+    assert tdigest.merge_pair(a, b, 32)[:, 1].sum() == 1100 and tdigest.merge_pair(a, tdigest.EMPTY).tolist() == a.tolist() == tdigest.merge_pair(tdigest.EMPTY, a).tolist()
+
+
+def test_boxes_and_masks_at_fine_orders(spark):
+    far = [(1, c) for c in (0, 1 << 12, 2 << 12, 3 << 12, (3 << 12) + 5, 1 << 15, 2 << 16, 3 << 16)] + [(2, 77)]
+    got = {r.shard: r for r in coverage.box(spark.createDataFrame(far, "shard long, c long"), "shard", "c", 10).collect()}
+    assert got[2].box == [77] and got[2].box_order == 10 and len(got[1].box) <= 4
+    assert {c >> (2 * (10 - got[1].box_order)) for _, c in far[:-1]} == set(got[1].box)
+    whole = spark.createDataFrame([(0, 1 << 58), (1 << 58, (1 << 58) + 5), (3 << 58, 4 << 58), ((4 << 58) - 9, 5 << 58)], "lo long, hi long")
+    assert sorted(map(tuple, coverage.union(whole).collect())) == [(0, (1 << 58)), (1 << 58, (1 << 58) + 5), (3 << 58, 4 << 58), (4 << 58, 5 << 58)]
+
+
+def test_cover_holds_every_point_of_its_box(spark):
+    box = (170.0, -20.0, 200.0, 5.0)
+    points = [(box[1] + (box[3] - box[1]) * i / 12, box[0] + (box[2] - box[0]) * j / 12) for i in range(13) for j in range(13)]
+    own = {r.cell for r in cells.with_healpix(spark.createDataFrame(points, "lat double, lon double"), "lat", "lon", 4).collect()}
+    covered = {r.cell for r in footprints.cover(spark, box, 4).collect()}
+    assert own <= covered and len(covered) < 1000
+
+
+def test_sweep_declarations_lease_and_retrofit(spark, tmp_path):
+    f = {"n": {"function": "len", "fill": 0}}
+    assert sweep.check_match([f, f]) == sweep.declared(f)
+    with pytest.raises(sweep.DeclarationMismatch):
+        sweep.check_match([f, {"n": {"function": "len", "fill": 1}}])
+    with sweep.Lease(spark, str(tmp_path / "lease"), 60, "me"), pytest.raises(RuntimeError), sweep.Lease(spark, str(tmp_path / "lease"), 60, "you"):
+        pass
+    kept = sweep.retrofit({"a": 1}, [3, 2], f)
+    assert sweep.retrofit(kept, [2, 3], f) == kept
+    with pytest.raises(sweep.DeclarationMismatch):
+        sweep.retrofit(kept, [3], f)
+    assert sweep.stages(6) == [("gather", 6, 6), ("merge", 6, 4), ("merge", 4, 2), ("merge", 2, 0)]
+
+
+def test_store_refuses_contraction_and_reads_back(spark, tmp_path):
+    df = spark.range(64).selectExpr("id DIV 16 AS shard", "id AS c", "id * 2 AS n")
+    plan = spark.createDataFrame([(k, g) for k in range(4) for g in "ab"], "shard long, granule string")
+    root, manifest = str(tmp_path / "store"), {"semantic_hash": "x", "grid": "g", "schema": ["n"]}
+    store.write_leaves(df, plan, root, "c", 2, manifest, "one")
+    assert {r.run for r in store.write_leaves(df, plan, root, "c", 2, manifest, "two").collect()} == {"one"}
+    assert store.read_leaves(spark, root).count() == 64
+    with pytest.raises(ManifestMismatch):
+        store.write_leaves(df, plan.where("granule = 'a'"), root, "c", 2, manifest, "three")
+    leaves = spark.read.parquet(f"{root}/coverage")
+    assert store.root_coverage(leaves, 2, 3).count() == 1 and store.stale_coverage(leaves, df).count() == 0
+    assert store.bitmap_and(leaves, leaves).where("bitmap like '%0%'").count() == 0
+
+
+def test_slices_with_missing_samples_fail(spark):
+    samples = spark.createDataFrame([(1, p) for p in (0, 1, 3)], "k long, pos long")
+    slices = spark.createDataFrame([(1, 0, 2)], "k long, start long, stop long")
+    assert readplan.planned(samples, slices, ["k"], "pos").count() == 2
+    with pytest.raises(Exception, match="missing"):
+        readplan.planned(samples, spark.createDataFrame([(1, 1, 4)], "k long, start long, stop long"), ["k"], "pos").collect()
+
+
+def test_companion_reducers(spark):
+    df = spark.createDataFrame([(1, 2.0, 9), (1, 4.0, 7), (2, 1.0, 5)], "k long, x double, cell long")
+    found = registry.companion_aggregate(df, ["k"], "x", lambda v, locations: (float(v.max()), int(locations.min())), "double", location="cell").collect()
+    assert sorted(map(tuple, found)) == [(1, 4.0, 7), (2, 1.0, 5)]
+
+
+def test_shared_quantiles_equal_single_ones(spark):
+    df = spark.createDataFrame([(k % 3, float(k) if k != 7 else math.nan) for k in range(40)], "c long, x double")
+    fields = [Field(n, f, "x", params=p, dtype="float64") for n, f, p in (("a", "median", {}), ("b", "quantile", {"q": 0.25}), ("d", "quantile", {"q": 0.9}))]
+    both = {r.c: r for r in aggregate.by_cell(df, fields, ["c"]).collect()}
+    for f in fields:
+        for r in aggregate.by_cell(df, [f], ["c"]).collect():
+            assert r[f.name] == both[r.c][f.name] or math.isnan(r[f.name]) and math.isnan(both[r.c][f.name])
