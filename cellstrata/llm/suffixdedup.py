@@ -282,7 +282,8 @@ def _long(number: int) -> int:
 def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS) -> tuple[DataFrame, DataFrame]:
     """occurrences() of anchors that occur again, and anchor, segment, first, last: runs of starts within a segment whose strings occur again."""
     every = stored(occurrences(texts, length, gram))
-    often = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # A table of its own: a join of two plain shuffles is one whose hot keys adaptive execution can split.
+    often = stored(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     found = stored(every.join(often.hint("merge"), "anchor", "left_semi"))
     holder = F.min(F.struct("doc_id", "tid", "start")).alias("holder")
     distinct = found.groupBy("anchor", "segment").agg(F.count("*").alias("times"), holder, F.first("starts").alias("starts"), F.first("spot").alias("spot"))
