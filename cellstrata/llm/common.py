@@ -62,6 +62,31 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Bits of the bitmap of flagged() (8 MB).
+MARK_BITS = 1 << 26
+
+
+def _bit_of(columns: list[str]) -> tuple[Column, Column]:
+    at = F.pmod(F.xxhash64(*columns), F.lit(MARK_BITS))
+    return F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+
+
+def flagged(df: DataFrame, columns: list[str], keys: DataFrame, key_columns: list[str]) -> DataFrame:
+    """df with __hit: true for all rows whose columns (of the same types) are among keys, and for few others.
+
+    A bitmap of MARK_BITS bits, whatever the tables' sizes, is broadcast, so that
+    the other rows needn't be shuffled. The more keys there are, the more rows
+    are hit; never too few.
+    """
+    bucket, bit = _bit_of(key_columns)
+    marks = keys.select(bucket.alias("__bucket"), bit.alias("__bit")).groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    bucket, bit = _bit_of(columns)
+    known = df.withColumns({"__part": bucket, "__at": bit}).join(F.broadcast(marks), F.col("__part") == F.col("__bucket"), "left")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(F.col("__at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col("__at") % 8)) % 2 == 1, F.lit(False))
+    return known.withColumn("__hit", hit).drop("__part", "__at", "__bucket", "__bits")
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -35,10 +35,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, stored
+from .common import cut_lineage, flagged, stored
 
 LENGTH = 400
 GRAM = 128
@@ -46,8 +46,6 @@ GRAM = 128
 GROUP_SEGMENTS = 2_000
 #: Bytes of a text whose anchors are found at once; positions must fit in the low bits of a key.
 STRETCH = 1 << 22
-#: Bits of the bitmap that tells which texts need a shuffle (8 MB).
-MARK_BITS = 1 << 26
 _LOW = np.uint64((1 << 24) - 1)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -255,26 +253,6 @@ def occurrences(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, f"{schema}, start int, anchor long, segment long, starts int, spot int")
 
 
-def _bit_of(doc_id: str, tid: str) -> tuple[Column, Column]:
-    at = F.pmod(F.xxhash64(doc_id, tid), F.lit(MARK_BITS))
-    return F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
-
-
-def _flagged(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """texts with __hit: true for all whose (__id, __tid) keys has, and for few others.
-
-    A bitmap of MARK_BITS bits, whatever the table's size, spares the other texts
-    a shuffle. The more keys there are, the more texts are hit; never too few.
-    """
-    bucket, bit = _bit_of("__id", "__tid")
-    marks = keys.select(bucket.alias("__bucket"), bit.alias("__bit")).groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
-    bucket, bit = _bit_of("doc_id", "tid")
-    known = texts.withColumns({"__own": bucket, "__at": bit}).join(F.broadcast(marks), F.col("__own") == F.col("__bucket"), "left")
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(F.col("__at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col("__at") % 8)) % 2 == 1, F.lit(False))
-    return known.withColumn("__hit", hit).drop("__own", "__at", "__bucket", "__bits")
-
-
 def _long(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
@@ -282,9 +260,9 @@ def _long(number: int) -> int:
 def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS) -> tuple[DataFrame, DataFrame]:
     """occurrences() of anchors that occur again, and anchor, segment, first, last: runs of starts within a segment whose strings occur again."""
     every = stored(occurrences(texts, length, gram))
-    # A table of its own: a join of two plain shuffles is one whose hot keys adaptive execution can split.
-    often = stored(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    found = stored(every.join(often.hint("merge"), "anchor", "left_semi"))
+    often = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Anchors that occur once go, but for a few; no row moves for it, so a hot anchor's rows stay spread.
+    found = stored(flagged(every, ["anchor"], often, ["anchor"]).where("__hit").drop("__hit"))
     holder = F.min(F.struct("doc_id", "tid", "start")).alias("holder")
     distinct = found.groupBy("anchor", "segment").agg(F.count("*").alias("times"), holder, F.first("starts").alias("starts"), F.first("spot").alias("spot"))
     distinct = cut_lineage(distinct.withColumn("single", F.col("times") == 1))
@@ -294,7 +272,7 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     wanted = distinct.join(mixed.hint("merge"), "anchor").select("holder.doc_id", "holder.tid", F.struct(F.col("holder.start").alias("start"), "anchor", "segment", "starts", "spot", "single", "segments").alias("want"))
     per_text = stored(wanted.groupBy("doc_id", "tid").agg(F.collect_list("want").alias("wants")).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid"), "wants"))
     # Without the hint the plan would broadcast on small tables and shuffle on others.
-    near = _flagged(texts, per_text).where("__hit").join(per_text.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid")))
+    near = flagged(texts, ["doc_id", "tid"], per_text, ["__id", "__tid"]).where("__hit").join(per_text.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid")))
     met = near.select("data", F.explode("wants").alias("w"))
     cut = F.substring(F.col("data"), F.col("w.start") + 1, F.col("w.starts") + length - 1)
     sent = met.select(F.col("w.anchor").alias("key"), "w.spot", "w.single", "w.anchor", "w.segment", F.lit(0).alias("shift"), cut.alias("data"), "w.segments")
@@ -366,9 +344,9 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segm
         "doc_id", "tid", F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")).alias("run")
     )
     own = stored(spans.groupBy("doc_id", "tid").agg(F.collect_set("run").alias("runs")).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid"), "runs"))
-    flagged = _flagged(texts, own)
-    hit = flagged.where("__hit").join(own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid")), "left").select("doc_id", "data", "runs")
-    return hit.unionByName(flagged.where("not __hit").select("doc_id", "data", F.lit(None).cast(own.schema["runs"].dataType).alias("runs")))
+    known = flagged(texts, ["doc_id", "tid"], own, ["__id", "__tid"])
+    hit = known.where("__hit").join(own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid")), "left").select("doc_id", "data", "runs")
+    return hit.unionByName(known.where("not __hit").select("doc_id", "data", F.lit(None).cast(own.schema["runs"].dataType).alias("runs")))
 
 
 def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS) -> DataFrame:
