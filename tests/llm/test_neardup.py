@@ -55,3 +55,34 @@ def test_rows_of_one_doc_id_with_other_texts_stay(spark):
 def test_linked_reaches_through_others():
     texts = near_texts(3, 6)
     assert neardup.linked([neardup.shingles(t) for t in texts]).tolist() == plain_groups(texts)
+
+
+def test_large_groups_are_split_and_searched_alike(spark, monkeypatch):
+    texts = near_texts(5, 6) + near_texts(6, 1) * 3
+    monkeypatch.setattr(neardup, "GROUP_SETS", 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert kept == sorted(set(plain_groups(texts)))
+
+
+def test_a_key_that_all_sets_share_is_searched_in_blocks(spark, monkeypatch):
+    texts = near_texts(7, 8)
+    monkeypatch.setattr(neardup, "GROUP_SETS", 7)
+    for rounds in (0, 2):  # with none, all pairs are left to the blocks
+        monkeypatch.setattr(neardup, "ROUNDS", rounds)
+        rows = spark.createDataFrame(list(enumerate(texts)), "node long, __text string")
+        keys = rows.selectExpr("node", "explode(array(1L, 2L, 100 + node % 2)) band")
+        found = {r["__node"]: r["__group"] for r in neardup.split_groups(rows, keys).collect()}
+        assert [found.get(k, k) for k in range(len(texts))] == plain_groups(texts)
+
+
+def test_blocks_are_bounded_and_every_pair_of_classes_meets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP_SETS", 10)
+    met = spark.range(60).selectExpr("id node", "1L band", "if(id < 40, 0L, id) label")
+    texts = spark.range(60).selectExpr("id node", "'' __text")
+    tasks = {}
+    for r in neardup.block_pairs(met, texts).collect():
+        tasks.setdefault((r.low, r.high), set()).add(r.node)
+    meet = {(a, b) for t in tasks.values() for a in t for b in t}
+    assert all((a, b) in meet for a in range(60) for b in range(40, 60))
+    assert max(map(len, tasks.values())) <= 30
