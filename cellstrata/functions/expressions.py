@@ -78,6 +78,8 @@ _COMPARE = {
     ast.Eq: lambda a, b: a == b, ast.NotEq: lambda a, b: a != b, ast.Lt: lambda a, b: a < b,
     ast.LtE: lambda a, b: a <= b, ast.Gt: lambda a, b: a > b, ast.GtE: lambda a, b: a >= b,
 }
+#: Where NaN would count as equal to itself and above all numbers, the side whose NaN decides.
+_CHECKED = {ast.Eq: 0, ast.NotEq: 0, ast.Gt: 0, ast.GtE: 0, ast.Lt: 1, ast.LtE: 1}
 CONSTANTS = {"pi": 3.141592653589793, "e": 2.718281828459045, "nan": NAN, "inf": float("inf")}
 
 
@@ -133,13 +135,17 @@ class _Compiler(ast.NodeVisitor):
         return out
 
     def visit_Compare(self, node):
-        out, left = None, self.visit(node.left)
-        for op, right in zip(node.ops, node.comparators, strict=True):
+        nodes = [node.left, *node.comparators]
+        sides, out = [self.visit(n) for n in nodes], None
+        for k, op in enumerate(node.ops):
             if type(op) not in _COMPARE:
                 raise ExpressionError(f"comparison {type(op).__name__}")
-            right = self.visit(right)
-            one = _COMPARE[type(op)](left, right)
-            out, left = one if out is None else out & one, right
+            one = _COMPARE[type(op)](sides[k], sides[k + 1])
+            checked = k + _CHECKED[type(op)]
+            if not any(isinstance(n, ast.Constant) and isinstance(n.value, str) for n in nodes[k : k + 2]) and not isinstance(nodes[checked], ast.Constant):
+                nan = F.coalesce(F.isnan(sides[checked].try_cast("double")), F.lit(False))
+                one = one | nan if isinstance(op, ast.NotEq) else one & ~nan
+            out = one if out is None else out & one
         return out
 
     def visit_Call(self, node):

@@ -1,4 +1,4 @@
-"""Structured predicates. A comparison with null is false, as arrays have no third value."""
+"""Structured predicates. A comparison with null or NaN is false (but ne, which is true), as arrays have no third value."""
 
 from __future__ import annotations
 
@@ -13,6 +13,20 @@ OPERATORS = {
 }
 
 
+def _number(v) -> bool:
+    return isinstance(v, int | float) and not isinstance(v, bool)
+
+
+def _compared(op: str, x: Column, v) -> Column:
+    """Never null, in a form that scans can be given."""
+    if _number(v) and v != v:
+        return F.lit(op == "ne")
+    if op == "ne":
+        return x.isNull() | (x != v)
+    hit = x.isNotNull() & OPERATORS[op](x, F.lit(v))
+    return hit & (x <= float("inf")) if op in ("ge", "gt") and _number(v) else hit  # to Spark NaN is above all numbers
+
+
 def predicate(spec: dict) -> Column:
     """spec: variable, op, value or values, and optionally column (of an array variable) and keep (false inverts)."""
     unknown = set(spec) - {"variable", "op", "value", "values", "column", "keep", "level"}
@@ -23,9 +37,9 @@ def predicate(spec: dict) -> Column:
         x = F.get(x, F.lit(spec["column"]))
     op = spec["op"]
     if op in OPERATORS:
-        hit = F.coalesce(OPERATORS[op](x, F.lit(spec["value"])), F.lit(op == "ne"))
+        hit = _compared(op, x, spec["value"])
     elif op in ("in", "not_in"):
-        hit = F.coalesce(x.isin(list(spec["values"])), F.lit(False))
+        hit = x.isNotNull() & x.isin([v for v in spec["values"] if v == v])
         hit = ~hit if op == "not_in" else hit
     else:
         raise ValueError(f"unknown operator {op!r}")
@@ -42,7 +56,7 @@ def apply(df: DataFrame, filters: list[dict] = (), expression: str | None = None
     filters = list(filters) or (quality(quality_filter["dataset"], quality_filter["value"]) if quality_filter else [])
     for spec in filters:
         df = df.where(predicate(spec))
-    return df.where(F.coalesce(per_row(expression, df.columns), F.lit(False))) if expression else df
+    return df.where(per_row(expression, df.columns)) if expression else df
 
 
 def in_boxes(boxes: list[tuple[float, float, float, float]], xmin="xmin", ymin="ymin", xmax="xmax", ymax="ymax") -> Column:

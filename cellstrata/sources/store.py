@@ -69,8 +69,10 @@ def content_hashes(cells: DataFrame, shard: str, cell: str) -> DataFrame:
 
 
 def read_leaves(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the shards that have a stamp."""
-    done = spark.read.parquet(f"{root}/inputs").select("shard").distinct()
+    """Rows of the shards that have a stamp; a shard that its newest run left without cells has none, whatever an older run wrote."""
+    newest = _known(spark, f"{root}/inputs", "shard long, granule string, run string, at timestamp").groupBy("shard").agg(F.max_by("run", "at").alias("run"))
+    filled = _known(spark, f"{root}/coverage", "shard long, run string")
+    done = newest.join(filled, ["shard", "run"], "left_semi").select("shard")
     return spark.read.parquet(f"{root}/data").withColumn("shard", F.col("shard").cast("long")).join(done, "shard", "left_semi")
 
 

@@ -390,3 +390,26 @@ def test_shared_quantiles_equal_single_ones(spark):
     for f in fields:
         for r in aggregate.by_cell(df, [f], ["c"]).collect():
             assert r[f.name] == both[r.c][f.name] or math.isnan(r[f.name]) and math.isnan(both[r.c][f.name])
+
+
+def test_nan_is_in_no_order(spark):
+    df = spark.sql("SELECT * FROM VALUES (double('NaN'), 1), (1.0, 2), (5.0, 3), (CAST(NULL AS DOUBLE), 4), (double('inf'), 5) t(x, i)")
+
+    def kept(condition) -> list[int]:
+        return sorted(r.i for r in df.where(condition).collect())
+
+    for op, v, expected in (("eq", 5, [3]), ("ne", 5, [1, 2, 4, 5]), ("ge", 5, [3, 5]), ("gt", 1, [3, 5]), ("le", 5, [2, 3]), ("lt", 5, [2]), ("ge", float("nan"), []), ("ne", float("nan"), [1, 2, 3, 4, 5])):
+        assert kept(filters.predicate({"variable": "x", "op": op, "value": v})) == expected
+        assert kept(filters.predicate({"variable": "x", "op": op, "value": v, "keep": False})) == sorted({1, 2, 3, 4, 5} - set(expected))
+    assert kept(filters.predicate({"variable": "x", "op": "not_in", "values": [5.0, float("nan")]})) == [1, 2, 4, 5]
+    for text, expected in (("x > 1", [3, 5]), ("x >= x", [2, 3, 5]), ("x == x", [2, 3, 5]), ("x != x", [1]), ("1 < x", [3, 5]), ("0 < x < 9", [2, 3])):
+        assert kept(expressions.per_row(text, df.columns)) == expected
+
+
+def test_a_shard_left_without_cells_is_not_read(spark, tmp_path):
+    df, root, manifest = spark.range(64).selectExpr("id AS c", "id DIV 16 AS shard"), str(tmp_path / "store"), {"semantic_hash": "x", "grid": {}, "schema": []}
+    plan = df.selectExpr("shard", "'a' AS granule").distinct()
+    store.write_leaves(df, plan, root, "c", 2, manifest, "one")
+    more = plan.unionByName(spark.sql("SELECT 1L AS shard, 'b' AS granule"))
+    store.write_leaves(df.where("shard <> 1"), more, root, "c", 2, manifest, "two")
+    assert sorted({r.shard for r in store.read_leaves(spark, root).collect()}) == [0, 2, 3]
