@@ -39,6 +39,8 @@ SEED = 42
 BUCKET_FINGERPRINTS = 2_000
 #: Variants that a task makes at once, about.
 VARIANTS_AT_ONCE = 2_000_000
+#: A fingerprint of more than one in so many rows is hot.
+HOT_PARTS = 1_000
 #: Shingles hashed at once within a text, so that memory doesn't follow its length.
 CHUNK = 65_536
 
@@ -165,16 +167,27 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """key, fp and component (the least key that the document reaches by links, itself included)."""
+    """key, fp and component (the least key that the document reaches by links, itself included).
+
+    Fingerprints of more than a HOT_PARTS-th of all rows, so fewer than HOT_PARTS,
+    hand their component to the rows by a broadcast; the others by a shuffle.
+    """
     prints = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("__source")), "__source"))
-    distinct = prints.groupBy("fp").agg(F.min("key").alias("least"))
-    found = components(links(distinct.select("fp"), distinct.count(), radius))
+    distinct = prints.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n"))
+    count, rows = distinct.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    found = components(links(distinct.select("fp"), count, radius))
     rooted = found.join(distinct, found["node"] == distinct["fp"]).select("fp", "root", "least")
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component"))
     linked = rooted.join(lowest, "root").select(F.col("fp").alias("__fp"), F.col("component").alias("__linked"))
     own = distinct.withColumnRenamed("fp", "__own")
-    known = own.join(linked, F.col("__own") == F.col("__fp"), "left").select("__own", F.coalesce("__linked", "least").alias("component"))
-    return prints.join(known, prints["fp"] == known["__own"], "left").select("key", "fp", "component")
+    known = own.join(linked, F.col("__own") == F.col("__fp"), "left").select("__own", "n", F.coalesce("__linked", "least").alias("component"))
+    is_hot = F.col("n") * HOT_PARTS > rows
+    hot = known.where(is_hot).select("__own", "component", F.lit(True).alias("__hot"))
+    met = prints.join(F.broadcast(hot), prints["fp"] == hot["__own"], "left")
+    rest = met.where("__hot is null").select("key", "fp")
+    cold = known.where(~is_hot).select("__own", "component")
+    given = rest.join(cold, rest["fp"] == cold["__own"], "left").select("key", "fp", "component")
+    return met.where("__hot").select("key", "fp", "component").unionByName(given)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:

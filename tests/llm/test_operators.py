@@ -223,6 +223,21 @@ def joined(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+@pytest.mark.parametrize("parts", [1, 8, 1000])
+def test_simhash_hot_fingerprints(spark, monkeypatch, parts):
+    """With none, one, or all fingerprints hot: the same rows, repeated and null keys included."""
+    rows = [(k, "one and the same text of many copies") for k in range(30)] + [(3, "one and the same text of many copies"), (None, "alone"), (None, "alone")]
+    rows += [(100 + k, f"text number {k} with words of its own {k * k} {k**3}") for k in range(40)]
+    monkeypatch.setattr(simhash, "HOT_PARTS", parts)
+    found = simhash.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in found}
+    near = {k: k for k in prints if k is not None}
+    for _ in near:
+        near = {a: min(near[b] for b in near if (prints[a] ^ prints[b]).bit_count() <= 4) for a in near}
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(k) for k, _ in rows)
+    assert all(r.component_id == near[r.doc_id] for r in found if r.doc_id is not None)
+
+
 def test_simhash(docs, by_id):
     prints = {i: plain_fingerprint(t) for i, t in by_id.items()}
     want = joined(sorted(prints), [(a, b) for a, b in combinations(sorted(prints), 2) if (prints[a] ^ prints[b]).bit_count() <= 4])
