@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import cells, packing, times
-from .operators import aggregate, coverage, events, filters, joins, pyramid, raster, readplan, sketch
+from .operators import aggregate, coverage, events, filters, identity, joins, pyramid, raster, readplan, sketch, sweep
 from .plans import registry
 from .queries import CELLS, FOUR, GRID, OBS, celled, nested, observed, query, rounded, table
+from .queries_store import _records as records
 from .queries_store import scratch
-from .sources import tables
+from .sources import store, tables
+from .streaming import micro_batch
 
 NAN = float("nan")
 
@@ -312,3 +314,100 @@ def _widest(values, locations, temporal, share: float):
 @query("udf_05_companion_reducer", "SELECT l_partkey, CAST(max(l_quantity) - min(l_quantity) AS DOUBLE) / 2 AS payload, max(l_orderkey) AS locations, min(l_suppkey) AS temporal FROM lineitem GROUP BY ALL")
 def udf_05_companion_reducer(spark, sf_dir):
     return registry.companion_aggregate(table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_quantity", _widest, "double", "l_orderkey", "l_suppkey", share=0.5)
+
+
+@query("cov_03_root_ranges", f"WITH {CELLS}{FOUR} SELECT DISTINCT h >> 6 AS shard FROM marked WHERE h % 5 = 0")
+def cov_03_root_ranges(spark, sf_dir):
+    """Ranges of the shards that hold anything, and their union with those of an older run, expanded again."""
+    df = nested(spark, sf_dir).where("h % 5 = 0").withColumn("shard", cells.coarsen("h", 3))
+    new = coverage.bitmap(df.where("h % 10 = 0"), "shard", "h", 3)
+    old = coverage.bitmap(df.where("h % 10 <> 0"), "shard", "h", 3)
+    both = coverage.union(store.root_coverage(new, 3, 4), store.root_coverage(old, 3, 4))
+    return coverage.to_order(both, 1).withColumnRenamed("cell", "shard")
+
+
+@query("cov_04_stale", f"WITH {CELLS}{FOUR}, s AS (SELECT DISTINCT h >> 6 AS shard FROM marked) SELECT shard, CASE WHEN shard % 3 = 0 THEN 'data' ELSE 'coverage' END AS lacks FROM s WHERE (shard % 3 = 0) <> (shard % 4 = 0)")
+def cov_04_stale(spark, sf_dir):
+    """Shards with coverage but without data, and the other way round."""
+    df = nested(spark, sf_dir).select(cells.coarsen("h", 3).alias("shard"))
+    return store.stale_coverage(df.where("shard % 3 = 0"), df.where("shard % 4 = 0"))
+
+
+@query("src_19_bitmap_and", f"WITH {CELLS}{FOUR} SELECT h >> 4 AS shard, CAST(count(DISTINCT h) AS BIGINT) AS n FROM (SELECT h FROM marked WHERE l_returnflag = 'R' INTERSECT SELECT h FROM marked WHERE l_linenumber = 7) GROUP BY ALL")
+def src_19_bitmap_and(spark, sf_dir):
+    """Cells that two runs' bitmaps share."""
+    df = nested(spark, sf_dir).withColumn("shard", cells.coarsen("h", 2))
+    a, b = (coverage.bitmap(df.where(c), "shard", "h", 2) for c in ("l_returnflag = 'R'", "l_linenumber = 7"))
+    n = F.length(F.replace(F.col("bitmap"), F.lit("0"), F.lit("")))
+    return store.bitmap_and(a, b).select("shard", n.cast("long").alias("n")).where("n > 0")
+
+
+@query("src_14_catalog_files", "SELECT c_custkey AS id, (c_custkey % 360) - 180.0 AS xmin FROM customer WHERE (c_custkey % 360) - 180 <= 20 AND (c_custkey % 360) - 178 >= -20 AND c_nationkey <= 12 AND c_nationkey + 1 >= 5")
+def src_14_catalog_files(spark, sf_dir):
+    """A catalog of footprints written, read, and searched by a box."""
+    x, y = (F.col("c_custkey") % 360 - 180).cast("double"), F.col("c_nationkey").cast("double")
+    items, root = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), x.alias("xmin"), y.alias("ymin"), (x + 2).alias("xmax"), (y + 1).alias("ymax")), scratch(spark)
+    items.write.parquet(f"{root}/catalog")
+    return spark.read.parquet(f"{root}/catalog").where(filters.in_boxes([(-20.0, 5.0, 20.0, 12.0)])).select("id", "xmin")
+
+
+@query("snk_13_run_statistics", """SELECT CASE WHEN o_orderstatus = 'F' THEN 'one' ELSE 'two' END AS run, CAST(count(*) AS BIGINT) AS granules, max(o_totalprice) AS peak FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL""")
+def snk_13_run_statistics(spark, sf_dir):
+    """Two runs' records, the first written twice: each run counts once."""
+    df, root = table(spark, sf_dir, "orders").select("o_orderstatus", F.col("o_custkey").alias("shard"), F.lit(1).alias("granules"), F.col("o_totalprice").alias("peak")), f"{scratch(spark)}/stats"
+    for name, status in (("one", "P"), ("two", "O"), ("one", "F")):
+        store.append_stats(df.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), root, name)
+    return identity.merged_stats(spark.read.parquet(root), ["run"], counters=["granules"], peaks=["peak"])
+
+
+@query("snk_14_levels", f"WITH {CELLS}{FOUR} SELECT 3 AS order_, h >> 2 AS h, count(*) AS n FROM marked GROUP BY ALL UNION ALL SELECT 1, h >> 6, count(*) FROM marked GROUP BY ALL")
+def snk_14_levels(spark, sf_dir):
+    """Levels written as one table, one of them anew, and two of them gathered."""
+    base, root = nested(spark, sf_dir).groupBy("h").agg(F.count("*").alias("n")), f"{scratch(spark)}/levels"
+    store.write_levels(sweep.cascade(base, "h", 4, [3, 2, 1], {"n": "len"}), root, "h")
+    store.write_levels({3: pyramid.fold(base, "h", 1, {"n": "len"})}, root, "h")
+    return sweep.gather(spark.read.parquet(root), [3, 1]).select(F.col("order").cast("int").alias("order_"), "h", "n")
+
+
+@query("snk_05_template", "SELECT 0 AS n, 'cell bigint, n int, mean double' AS columns")
+def snk_05_template(spark, sf_dir):
+    """A product's table before any leaf is there."""
+    root = f"{scratch(spark)}/template"
+    store.template(spark, root, [aggregate.Field("n", "len", dtype="int32"), aggregate.Field("mean", "mean", "x", dtype="float64")], ["cell"])
+    empty = spark.read.parquet(root)
+    return empty.agg(F.count("*").cast("int").alias("n"), F.lit(", ".join(f"{c} {k}" for c, k in empty.dtypes)).alias("columns"))
+
+
+@query("str_01_micro_batches", "SELECT l_suppkey AS cell, count(*) AS n, CAST(max(l_quantity) AS DOUBLE) AS top FROM lineitem GROUP BY ALL")
+def str_01_micro_batches(spark, sf_dir):
+    """A stream of files aggregated batch by batch and merged is as the table aggregated at once."""
+    df, root = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("x")), scratch(spark)
+    df.repartition(3).write.parquet(f"{root}/in")
+    fields = [aggregate.Field("n", "len", dtype="int64"), aggregate.Field("top", "max", "x", dtype="float64")]
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    micro_batch.merge_batches(stream, fields, ["cell"], f"{root}/out", f"{root}/ck").awaitTermination()
+    return micro_batch.read_merged(spark, f"{root}/out", fields, ["cell"]).select("cell", "n", "top")
+
+
+@query("jon_04_disjoint", "SELECT o_custkey, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 3 + 1 END) AS BIGINT) AS samples FROM orders GROUP BY ALL")
+def jon_04_disjoint(spark, sf_dir):
+    """Records whose intervals don't overlap pass the check."""
+    found = joins.disjoint(records(spark, sf_dir), ["o_custkey"], "begin", "cnt")
+    return found.groupBy("o_custkey").agg(F.sum("cnt").alias("samples"))
+
+
+@query("idn_02_nesting", "SELECT * FROM (VALUES ('finer cells', TRUE), ('other family', FALSE), ('other fields', FALSE), ('same grid', TRUE)) t(pair, nests)")
+def idn_02_nesting(spark, sf_dir):
+    """Which grids' products can be combined."""
+    base = cells.HealpixGrid(2, 6)
+    found = [("same grid", base.nests_with(base)), ("finer cells", base.nests_with(cells.HealpixGrid(3, 8))), ("other family", base.nests_with(GRID)), ("other fields", base.nests_with(base, ("n",), ("m",)))]
+    return spark.createDataFrame(found, "pair string, nests boolean")
+
+
+@query("idn_04_has_run", f"WITH {CELLS}{FOUR} SELECT h >> 6 AS shard, max((h >> 6) % 3 = 0) AS has_run FROM marked GROUP BY ALL")
+def idn_04_has_run(spark, sf_dir):
+    """Which planned shards a run has stamped."""
+    planned, root = nested(spark, sf_dir).select(cells.coarsen("h", 3).alias("shard")).distinct(), scratch(spark)
+    tables.stamp(planned.where("shard % 3 = 0"), f"{root}/stamps", ["shard"], "one")
+    done = spark.read.parquet(f"{root}/stamps").where("run = 'one'").select(F.col("shard").alias("__done")).distinct()
+    return planned.join(done, F.col("shard") == F.col("__done"), "left").select("shard", F.col("__done").isNotNull().alias("has_run"))
