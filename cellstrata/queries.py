@@ -539,10 +539,10 @@ _EV = "ev AS (SELECT user_id % 30 AS event, date_trunc('day', ts) AS t, value AS
 
 
 def _event(name: str, spatial: str, reducer: str, steps: str, final: str) -> None:
-    @query(name, f"WITH {_EV}, st AS (SELECT event, t, {steps} FROM ev GROUP BY event, t) SELECT event, round(coalesce({final}, -1), 3) AS value FROM st GROUP BY event")
+    @query(name, f"WITH {_EV}, st AS (SELECT event, t, {steps} FROM ev GROUP BY event, t) SELECT event, round(coalesce({final}, -1), 6) AS value FROM st GROUP BY event")
     def run(spark, sf_dir):
         found = events.reduced(events.timesteps(_event_cells(spark, sf_dir), spatial, "x", "mask", "area"), reducer, "value")
-        return found.select("event", F.round(F.nanvl("value", F.lit(-1.0)), 3).alias("value"))
+        return found.select("event", F.round(F.nanvl("value", F.lit(-1.0)), 6).alias("value"))
 
 
 _event("evt_01_max_of_max", "max", "max", "max(x) FILTER (mask > 0) AS v", "max(v)")
