@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import PurePosixPath
+from urllib.parse import unquote, urlparse
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,9 +125,30 @@ def product_name(kind: str, grid_signature: dict, semantic_hash: str) -> str:
     return f"{kind}-{grid_signature['type']}-{digest_of(grid_signature)[:8]}-{semantic_hash[:12]}"
 
 
+def _readable(spark: SparkSession, path: str, schema: str) -> bool:
+    try:
+        spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(path).limit(1).collect()
+    except (PySparkException, Py4JJavaError):
+        return False
+    return True
+
+
 def union_granules(spark: SparkSession, paths: list[str], schema: str) -> tuple[DataFrame, list[str]]:
-    """Rows of all granules that can be read, in one scan, and the paths that can't; an error if none can."""
-    good = [p for p in paths if _exists(spark, p)]
-    if not good:
+    """Rows of all granules that can be read, in one scan, and the paths that are missing or corrupt; an error if none can be read.
+
+    A first scan, of footers only, tells which files have rows; only paths without any are tried one by one.
+    """
+    there = [p for p in dict.fromkeys(paths) if _exists(spark, p)]
+    if not there:
+        raise FileNotFoundError("no granule can be read")
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*there)
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    full = set()
+    for (uri,) in rows.select("_metadata.file_path").distinct().collect():
+        at = PurePosixPath(unquote(urlparse(uri).path))
+        full |= {str(at), *map(str, at.parents)}
+    bad = {p for p in there if own(p).toUri().getPath().rstrip("/") not in full and not _readable(spark, p, schema)}
+    if len(bad) == len(there):
         raise FileNotFoundError("no granule can be read")
-    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*good), [p for p in paths if p not in good]
+    good = set(there) - bad
+    return rows, [p for p in paths if p not in good]

@@ -413,3 +413,15 @@ def test_a_shard_left_without_cells_is_not_read(spark, tmp_path):
     more = plan.unionByName(spark.sql("SELECT 1L AS shard, 'b' AS granule"))
     store.write_leaves(df.where("shard <> 1"), more, root, "c", 2, manifest, "two")
     assert sorted({r.shard for r in store.read_leaves(spark, root).collect()}) == [0, 2, 3]
+
+
+def test_granules_that_cannot_be_read_are_named(spark, tmp_path):
+    good, empty, broken, gone = (str(tmp_path / n) for n in ("good one", "empty", "broken", "gone"))
+    spark.range(5).write.parquet(good)
+    spark.range(0).write.parquet(empty)
+    (tmp_path / "broken").write_bytes(b"no Parquet")
+    rows, bad = store.union_granules(spark, [good, broken, gone, empty], "id long")
+    assert rows.count() == 5 and bad == [broken, gone]
+    for paths in ([gone], [broken, gone]):
+        with pytest.raises(FileNotFoundError):
+            store.union_granules(spark, paths, "id long")
