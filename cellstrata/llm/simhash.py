@@ -166,28 +166,33 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """key, fp and component (the least key that the document reaches by links, itself included).
+def _handed(rows: DataFrame, given: DataFrame, key: str, out: str, total: int) -> DataFrame:
+    """rows with the column out of given, which has one row for each key and n, the rows that have it.
 
-    Fingerprints of more than a HOT_PARTS-th of all rows, so fewer than HOT_PARTS,
-    hand their component to the rows by a broadcast; the others by a shuffle.
+    Keys of more than a HOT_PARTS-th of total, so fewer than HOT_PARTS, hand it
+    on by a broadcast; the others by a shuffle.
     """
+    is_hot = F.col("n") * HOT_PARTS > total
+    slim = given.select(F.col(key).alias("__own"), F.col(out).alias("__out"), "n")
+    hot = slim.where(is_hot).select("__own", "__out", F.lit(True).alias("__hot"))
+    met = rows.join(F.broadcast(hot), rows[key] == hot["__own"], "left")
+    rest = met.where("__hot is null").select(*rows.columns)
+    cold = slim.where(~is_hot).select("__own", "__out")
+    dealt = rest.join(cold, rest[key] == cold["__own"], "left")
+    return met.where("__hot").select(*rows.columns, F.col("__out").alias(out)).unionByName(dealt.select(*rows.columns, F.col("__out").alias(out)))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """key, fp and component (the least key that the document reaches by links, itself included)."""
     prints = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("__source")), "__source"))
     distinct = prints.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n"))
     count, rows = distinct.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = components(links(distinct.select("fp"), count, radius))
     rooted = found.join(distinct, found["node"] == distinct["fp"]).select("fp", "root", "least")
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    linked = rooted.join(lowest, "root").select(F.col("fp").alias("__fp"), F.col("component").alias("__linked"))
-    own = distinct.withColumnRenamed("fp", "__own")
-    known = own.join(linked, F.col("__own") == F.col("__fp"), "left").select("__own", "n", F.coalesce("__linked", "least").alias("component"))
-    is_hot = F.col("n") * HOT_PARTS > rows
-    hot = known.where(is_hot).select("__own", "component", F.lit(True).alias("__hot"))
-    met = prints.join(F.broadcast(hot), prints["fp"] == hot["__own"], "left")
-    rest = met.where("__hot is null").select("key", "fp")
-    cold = known.where(~is_hot).select("__own", "component")
-    given = rest.join(cold, rest["fp"] == cold["__own"], "left").select("key", "fp", "component")
-    return met.where("__hot").select("key", "fp", "component").unionByName(given)
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n"))
+    linked = _handed(rooted.select("fp", "root"), lowest, "root", "component", count).select(F.col("fp").alias("__fp"), F.col("component").alias("__linked"))
+    known = distinct.join(linked, F.col("fp") == F.col("__fp"), "left").select("fp", "n", F.coalesce("__linked", "least").alias("component"))
+    return _handed(prints, known, "fp", "component", rows)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
