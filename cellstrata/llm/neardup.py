@@ -1,18 +1,26 @@
 """Near-dedup of texts whose sets of word shingles have a Jaccard similarity of at least LEAST.
 
-Every distinct shingle set gets BANDS keys of ROWS min-hashes each; sets that
-share a key meet in a candidate group. A pair of similarity s shares a key with
-probability 1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8, above 0.9999 at 0.85. Each
-candidate group is then searched exactly: sets are linked by single linkage on
-exact Jaccard, so that nothing below LEAST is linked and no pair that shares a
-key is missed. Pairs are never stored; a set that is linked leaves the search,
-so a group of near copies costs a few passes over it.
+Candidates come by SimHash and meet-in-the-middle ball hashing, as in simhash.
+One fingerprint of 64 bits can't do it: at similarity 0.8 two differ in 9.7 bits
+on average. So every distinct shingle set gets PRINTS fingerprints, and a pair
+need only meet in one of their halves: in a half's LEAD leading bits, by which
+sets are dealt, and within RADIUS of its other bits. Every set emits the variants
+within half the radius in its bucket's task; two that share a variant are within
+the radius, and any two within it share one. Pairs that meet are linked if the
+fingerprint and the next one differ in at most CHECK_BITS bits altogether, which
+drops chance meetings. Bits differ with probability 0.15 at similarity 0.8, so a
+pair meets with probability 0.9999 (computed; 0.995 for sets of 4 and 5 shingles,
+0.9999 for 5 and 6). Each candidate group is then searched exactly: sets are
+linked by single linkage on exact Jaccard, so that nothing below LEAST is linked
+and no pair that met is missed. Pairs are never stored; a set that is linked
+leaves the search, so a group of near copies costs a few passes over it.
 
 A group of up to GROUP_SETS sets is searched in one task. Of a larger one no task
-holds more than about that many: its sets first meet a head of their keys, a part
-at a time, which links nearly all true copies; then the keys whose sets are not
-yet all linked are searched in pairs of blocks, but for pairs within the largest
-linked class. So only a key that very many sets share without being copies costs
+holds more than about that many. Sets that are linked in a bucket share a key;
+they first meet a head of their keys, a part at a time, which links nearly all
+true copies; then the keys whose sets are not yet all linked are searched in
+pairs of blocks, but for pairs within the largest linked class. So only a key
+that very many sets share without being copies costs
 more than in proportion: a row goes to as many tasks as there are blocks of sets
 outside that class.
 
@@ -33,24 +41,30 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, flagged, stored
+from .common import cut_lineage, flagged, partitions_of, stored
 from .components import components
-from .simhash import shingle_hashes
+from .simhash import RADIUS, VARIANTS_AT_ONCE, ball, shingle_hashes
 
 SHINGLE_WORDS = 5
 #: Least Jaccard similarity of near copies, as numerator and denominator.
 LEAST = (4, 5)
-ROWS, BANDS = 6, 26
+#: Fingerprints of a set; each is met by its upper and its lower half.
+PRINTS = 15
+#: Bits of a half, and the leading ones of them that must be equal.
+HALF, LEAD = 32, 4
+#: Differing bits, of 128, up to which a pair that met is linked.
+CHECK_BITS = 34
+#: Sets that share a variant, up to which all their pairs are checked at once.
+FEW = 16
 SEED = 42
 #: Sets that one task searches, about.
 GROUP_SETS = 1_000
 #: Rounds in which the sets of larger groups meet heads.
 ROUNDS = 2
-#: Shingles min-hashed at once within a text, so that memory doesn't follow its length.
+#: Shingles counted at once within a text, so that memory doesn't follow its length.
 CHUNK = 2_048
 
-_DRAWN = np.random.default_rng(SEED).integers(0, 2**64, (2, ROWS * BANDS), np.uint64, endpoint=False)
-_FACTORS, _SHIFTS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
+_FACTORS = np.random.default_rng(SEED).integers(0, 2**64, PRINTS, np.uint64, endpoint=False) | np.uint64(1)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -58,15 +72,91 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(shingle_hashes(text, SHINGLE_WORDS))
 
 
-def band_keys(own: np.ndarray) -> list[int]:
-    """The set's keys, as signed 64-bit numbers; none for an empty set."""
+def fingerprints(own: np.ndarray) -> list[int]:
+    """PRINTS SimHash fingerprints of a set of shingle hashes, as signed 64-bit numbers; none for an empty set."""
     if not len(own):
         return []
-    low = np.full(ROWS * BANDS, 2**64 - 1, np.uint64)
+    ones = np.zeros(64 * PRINTS, np.int64)
     for at in range(0, len(own), CHUNK):
-        np.minimum(low, (own[at : at + CHUNK, None] * _FACTORS + _SHIFTS).min(axis=0), out=low)
-    keys = [xxhash.xxh64_intdigest(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+        h = own[at : at + CHUNK, None] * _FACTORS
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        ones += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(own), bitorder="little").view(np.int64).tolist()
+
+
+def _variants(value: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The values' variants of `bits` bits within half the radius, sorted, each with its owner's place in the low 32 bits.
+
+    They come by leading bits, so many that about VARIANTS_AT_ONCE are in memory.
+    """
+    half, more, rest = RADIUS // 2, 0, bits
+    while more < 16 and np.bincount((value >> np.uint64(rest)).astype(np.int64)).max() * len(ball(half, 0, rest)) > VARIANTS_AT_ONCE:
+        more, rest = more + 1, rest - 1
+    balls = [ball(half - n, 0, rest) for n in range(half + 1)]
+    tail, head, place = value & np.uint64((1 << rest) - 1), value >> np.uint64(rest), np.arange(len(value), dtype=np.uint64)
+    for part in range(1 << more):
+        flips = np.bitwise_count(head ^ np.uint64(part))
+        made = [(((tail[own, None] ^ balls[n]) << np.uint64(32)) | place[own, None]).ravel() for n in range(half + 1) if (own := np.flatnonzero(flips == n)).size]
+        if made:
+            yield np.sort(np.concatenate(made))
+
+
+def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The labels (each set's least linked place), once a and b are linked too."""
+    while (label[a] != label[b]).any():
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def ball_classes(prints: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """For each set of a bucket the least place that it reaches by links.
+
+    prints: fingerprints (uint64) with the half that is met in the upper bits,
+    of which LEAD are equal; following: each set's next fingerprint.
+    """
+    bits = HALF - LEAD
+    label = np.arange(len(prints))
+    mixed = np.random.default_rng(SEED).integers(0, 2**64, len(prints), np.uint64, endpoint=False)
+    near = lambda a, b: np.bitwise_count(prints[a] ^ prints[b]) + np.bitwise_count(following[a] ^ following[b]) <= CHECK_BITS
+    for made in _variants((prints >> np.uint64(64 - HALF)) & np.uint64((1 << bits) - 1), bits):
+        keys = made >> np.uint64(32)
+        same = keys[1:] == keys[:-1]
+        met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        keys, who = keys[met], (made[met] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        if not len(who):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(np.append(starts, len(who)))
+        # Variants of the same sets count once.
+        own = np.unique(np.add.reduceat(mixed[who], starts), return_index=True)[1]
+        few = own[sizes[own] <= FEW]
+        pairs = [np.empty(0, np.int64)]
+        for gap in range(1, FEW):
+            for first in range(FEW - gap):
+                at = starts[few[sizes[few] > first + gap]] + first
+                pairs.append((who[at] << 32) | who[at + gap])
+        pairs = np.unique(np.concatenate(pairs))
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        hit = near(a, b)
+        label = _united(label, a[hit], b[hit])
+        for g in own[sizes[own] > FEW].tolist():
+            all_of = who[starts[g] : starts[g] + sizes[g]]
+            if (label[all_of] == label[all_of[0]]).all():
+                continue
+            found = all_of[near(all_of, all_of[0])]
+            label = _united(label, found, np.full_like(found, all_of[0]))
+            classes, times = np.unique(label[all_of], return_counts=True)
+            bulk = classes[times.argmax()]
+            for one in all_of[label[all_of] != bulk].tolist():  # pairs within the bulk are linked already
+                found = all_of[near(all_of, one)]
+                if (label[found] != label[one]).any():
+                    label = _united(label, found, np.full_like(found, one))
+    return label
 
 
 def linked(sets: list[np.ndarray]) -> np.ndarray:
@@ -95,28 +185,46 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def prints(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, hash (of the text), node (hash of the shingle set) and bands of every row."""
+    """key, hash (of the text), node (hash of the shingle set) and prints (its fingerprints) of every row."""
     slim = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    schema = slim.select("key", "hash").withColumn("node", F.lit(0).cast("long")).withColumn("bands", F.array().cast("array<long>")).schema
+    schema = slim.select("key", "hash").withColumn("node", F.lit(0).cast("long")).withColumn("prints", F.array().cast("array<long>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, bands = [], []
+            nodes, found = [], []
             for t in batch.column("text"):
                 own = shingles(t.as_py())
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
-                bands.append(band_keys(own))
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("hash"), *made], ["key", "hash", "node", "bands"])
+                found.append(fingerprints(own))
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("hash"), *made], ["key", "hash", "node", "prints"])
 
     return slim.mapInArrow(run, schema)
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """node and root (of its candidate group) of the sets that share a key with another."""
-    keys = found.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
-    heads = keys.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    return components(keys.join(heads, "band").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
+def ball_keys(found: DataFrame) -> DataFrame:
+    """node, head and band of the sets linked with another by ball hashing: those linked in a bucket share band and head, one of them."""
+    sets = found.where("size(prints) > 0").dropDuplicates(["node"]).select("node", "prints", F.explode(F.sequence(F.lit(0), F.lit(2 * PRINTS - 1))).alias("piece"))
+    at = F.floor(F.col("piece") / 2).cast("int")
+    own, following = F.get("prints", at), F.get("prints", (at + 1) % PRINTS)
+    turned = F.when(F.col("piece") % 2 == 0, own).otherwise(F.shiftleft(own, HALF).bitwiseOR(F.shiftrightunsigned(own, 64 - HALF)))
+    bucket = F.col("piece") * (1 << LEAD) + F.shiftrightunsigned("turned", 64 - LEAD).cast("int")
+    dealt = sets.select("node", "piece", turned.alias("turned"), following.alias("following")).select(bucket.alias("bucket"), "node", "turned", "following")
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, turned, following = (np.concatenate(c) for c in zip(*([b.column(c).to_numpy() for c in ("node", "turned", "following")] for b in batches), strict=True))
+        label = ball_classes(turned.view(np.uint64), following.view(np.uint64))
+        met = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(node[met]), pa.array(node[label[met]]), pa.array(np.full(len(met), key[0].as_py()), pa.int32())], ["node", "head", "bucket"])
+
+    # A bucket's work is far greater than its bytes, by which partitions would be merged.
+    links = dealt.repartition(partitions_of(found.sparkSession), "bucket").groupBy("bucket").applyInArrow(run, "node long, head long, bucket int")
+    return links.select("node", "head", F.xxhash64("bucket", "head").alias("band"))
+
+
+def candidates(keys: DataFrame) -> DataFrame:
+    """node and root (of its candidate group) of the sets of ball_keys()."""
+    return components(keys.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
 
 
 def searched(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -192,7 +300,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     found = cut_lineage(prints(docs, key, text))
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))
     nodes = found.groupBy("node").agg(first.alias("least"))
-    member = candidates(found)
+    met = stored(ball_keys(found))
+    member = candidates(met)
     large = member.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_SETS).select("root", F.lit(True).alias("large"))
     sized = member.join(large, "root", "left").withColumn("large", F.coalesce("large", F.lit(False)))
     sources = stored(sized.join(nodes, "node").select("node", "root", "large", F.col("least.key").alias("__key"), F.col("least.hash").alias("__hash")))
@@ -204,7 +313,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         verified = searched(groups, ["root"])
     else:
         groups = stored(groups)
-        keys = found.join(sources.where("large").select("node"), "node").dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
+        keys = met.join(sources.where("large").select("node"), "node").select("node", "band")
         split = split_groups(groups.where("large").select("node", "__text").dropDuplicates(["node"]), stored(keys))
         verified = searched(groups.where("not large"), ["root"]).unionByName(split)
     grouped = nodes.join(verified, F.col("node") == F.col("__node"), "left").groupBy(F.coalesce("__group", "node").alias("__group"))

@@ -3,6 +3,9 @@
 import random
 from itertools import combinations
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from cellstrata.llm import neardup, simhash
 
@@ -86,3 +89,48 @@ def test_blocks_are_bounded_and_every_pair_of_classes_meets(spark, monkeypatch):
     meet = {(a, b) for t in tasks.values() for a in t for b in t}
     assert all((a, b) in meet for a in range(60) for b in range(40, 60))
     assert max(map(len, tasks.values())) <= 30
+
+
+def test_fingerprints_are_majorities_of_mixed_hashes():
+    r = np.random.default_rng(1)
+    for size in (1, 2, 7, 300, 5000):
+        own = np.unique(r.integers(0, 2**64, size, np.uint64))
+        h = own[:, None] * neardup._FACTORS
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        want = [sum(1 << b for b in range(64) if 2 * int((h[:, k] >> np.uint64(b) & np.uint64(1)).sum()) > len(own)) for k in range(neardup.PRINTS)]
+        assert [p % 2**64 for p in neardup.fingerprints(own)] == want
+    assert neardup.fingerprints(own[:0]) == []
+
+
+@pytest.mark.parametrize("sets, clusters, noise", [(2, 1, 0.02), (400, 130, 0.1), (400, 3, 0.08), (500, 25, 0.14), (900, 1, 0.12)])
+def test_balls_meet_all_fingerprints_within_the_radius(sets, clusters, noise, monkeypatch):
+    r = np.random.default_rng(sets + clusters)
+    flips = np.packbits(r.random((sets, 2, 64)) < noise, axis=2).view(np.uint64)[:, :, 0]
+    both = r.integers(0, 2**64, (clusters, 2), np.uint64)[r.integers(0, clusters, sets)] ^ flips
+    prints, following = both[:, 0] & np.uint64(2**60 - 1) | np.uint64(5 << 60), both[:, 1].copy()
+    root = list(range(sets))
+    for a, b in combinations(range(sets), 2):
+        own, far = int(prints[a] ^ prints[b]), int(following[a] ^ following[b])
+        if (own >> 32).bit_count() <= 4 and own.bit_count() + far.bit_count() <= 34:
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root] if low != high else root
+    for few, at_once in ((neardup.FEW, neardup.VARIANTS_AT_ONCE), (2, 5_000)):
+        monkeypatch.setattr(neardup, "FEW", few)
+        monkeypatch.setattr(neardup, "VARIANTS_AT_ONCE", at_once)
+        assert neardup.ball_classes(prints, following).tolist() == root
+
+
+def test_the_stage_takes_candidates_by_ball_hashing(spark):
+    texts = near_texts(11, 40)
+    keys = neardup.ball_keys(neardup.prints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text"))
+    met = {}
+    for r in keys.collect():
+        met.setdefault(r.band, set()).add(r.node)
+    node = {r.key: r.node for r in neardup.prints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").collect()}
+    together = {pair for nodes in met.values() for pair in combinations(sorted(nodes), 2)}
+    sets = [plain_shingles(t) for t in texts]
+    near = [(a, b) for a, b in combinations(range(len(texts)), 2) if sets[a] != sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    far = [(a, b) for a, b in combinations(range(len(texts)), 2) if not sets[a] & sets[b]]
+    assert len(near) > 100 and all(tuple(sorted((node[a], node[b]))) in together for a, b in near)
+    assert not any(tuple(sorted((node[a], node[b]))) in together for a, b in far)
