@@ -7,8 +7,9 @@ need only meet in one of their halves: in a half's LEAD leading bits, by which
 sets are dealt, and within RADIUS of its other bits. Every set emits the variants
 within half the radius in its bucket's task; two that share a variant are within
 the radius, and any two within it share one. Pairs that meet are linked if the
-fingerprint and the next one differ in at most CHECK_BITS bits altogether, which
-drops chance meetings. Bits differ with probability 0.15 at similarity 0.8, so a
+fingerprint and the next one differ in at most CHECK_BITS bits altogether, and
+all fingerprints in at most WHOLE_BITS, which drops chance meetings and most pairs
+below similarity 0.6. Bits differ with probability 0.15 at similarity 0.8, so a
 pair meets with probability 0.9999 (computed; 0.995 for sets of 4 and 5 shingles,
 0.9999 for 5 and 6). Each candidate group is then searched exactly: sets are
 linked by single linkage on exact Jaccard, so that nothing below LEAST is linked
@@ -19,10 +20,11 @@ A group of up to GROUP_SETS sets is searched in one task. Of a larger one no tas
 holds more than about that many. Sets that are linked in a bucket share a key;
 they first meet a head of their keys, a part at a time, which links nearly all
 true copies; then the keys whose sets are not yet all linked are searched in
-pairs of blocks, but for pairs within the largest linked class. So only a key
-that very many sets share without being copies costs
-more than in proportion: a row goes to as many tasks as there are blocks of sets
-outside that class.
+pairs of blocks, but for pairs within the largest linked class. Keys overlap, so
+the sets of a candidate group's open keys are dealt once as a whole wherever that
+makes fewer rows than dealing each key. So only a group of very many sets that
+meet without being copies costs more than in proportion: a row goes to as many
+tasks as there are blocks of sets outside that class.
 
 Null, empty and blank texts have no shingles and count as copies of each other.
 Texts of fewer words than a shingle are one shingle. A document is its doc_id
@@ -54,6 +56,8 @@ PRINTS = 15
 HALF, LEAD = 32, 4
 #: Differing bits, of 128, up to which a pair that met is linked.
 CHECK_BITS = 34
+#: Differing bits, of all 64 * PRINTS, up to which it is linked.
+WHOLE_BITS = 240
 #: Sets that share a variant, up to which all their pairs are checked at once.
 FEW = 16
 SEED = 42
@@ -113,16 +117,23 @@ def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def ball_classes(prints: np.ndarray, following: np.ndarray) -> np.ndarray:
+def ball_classes(prints: np.ndarray, following: np.ndarray, whole: np.ndarray | None = None) -> np.ndarray:
     """For each set of a bucket the least place that it reaches by links.
 
     prints: fingerprints (uint64) with the half that is met in the upper bits,
-    of which LEAD are equal; following: each set's next fingerprint.
+    of which LEAD are equal; following: each set's next fingerprint; whole: all
+    fingerprints of each set as a row, without which WHOLE_BITS is not checked.
     """
+
+    def near(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+        hit = np.bitwise_count(prints[a] ^ prints[b]) + np.bitwise_count(following[a] ^ following[b]) <= CHECK_BITS
+        if whole is not None:
+            hit[hit] = np.bitwise_count(whole[a[hit]] ^ whole[np.broadcast_to(b, a.shape)[hit]]).sum(axis=1, dtype=np.int64) <= WHOLE_BITS
+        return hit
+
     bits = HALF - LEAD
     label = np.arange(len(prints))
     mixed = np.random.default_rng(SEED).integers(0, 2**64, len(prints), np.uint64, endpoint=False)
-    near = lambda a, b: np.bitwise_count(prints[a] ^ prints[b]) + np.bitwise_count(following[a] ^ following[b]) <= CHECK_BITS
     for made in _variants((prints >> np.uint64(64 - HALF)) & np.uint64((1 << bits) - 1), bits):
         keys = made >> np.uint64(32)
         same = keys[1:] == keys[:-1]
@@ -206,14 +217,16 @@ def ball_keys(found: DataFrame) -> DataFrame:
     """node, head and band of the sets linked with another by ball hashing: those linked in a bucket share band and head, one of them."""
     sets = found.where("size(prints) > 0").dropDuplicates(["node"]).select("node", "prints", F.explode(F.sequence(F.lit(0), F.lit(2 * PRINTS - 1))).alias("piece"))
     at = F.floor(F.col("piece") / 2).cast("int")
-    own, following = F.get("prints", at), F.get("prints", (at + 1) % PRINTS)
-    turned = F.when(F.col("piece") % 2 == 0, own).otherwise(F.shiftleft(own, HALF).bitwiseOR(F.shiftrightunsigned(own, 64 - HALF)))
-    bucket = F.col("piece") * (1 << LEAD) + F.shiftrightunsigned("turned", 64 - LEAD).cast("int")
-    dealt = sets.select("node", "piece", turned.alias("turned"), following.alias("following")).select(bucket.alias("bucket"), "node", "turned", "following")
+    own = F.get("prints", at)
+    half = F.when(F.col("piece") % 2 == 0, F.shiftrightunsigned(own, HALF)).otherwise(own.bitwiseAND(F.lit((1 << HALF) - 1)))
+    bucket = F.col("piece") * (1 << LEAD) + F.shiftrightunsigned(half, HALF - LEAD).cast("int")
+    dealt = sets.select(bucket.alias("bucket"), "node", "prints")
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, turned, following = (np.concatenate(c) for c in zip(*([b.column(c).to_numpy() for c in ("node", "turned", "following")] for b in batches), strict=True))
-        label = ball_classes(turned.view(np.uint64), following.view(np.uint64))
+        node, flat = (np.concatenate(c) for c in zip(*((b.column("node").to_numpy(), b.column("prints").flatten().to_numpy()) for b in batches), strict=True))
+        whole, at = flat.view(np.uint64).reshape(-1, PRINTS), key[0].as_py() >> LEAD
+        own, following = (np.ascontiguousarray(whole[:, k % PRINTS]) for k in (at // 2, at // 2 + 1))
+        label = ball_classes(own if at % 2 == 0 else (own << np.uint64(HALF)) | (own >> np.uint64(64 - HALF)), following, whole)
         met = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
         yield pa.RecordBatch.from_arrays([pa.array(node[met]), pa.array(node[label[met]]), pa.array(np.full(len(met), key[0].as_py()), pa.int32())], ["node", "head", "bucket"])
 
@@ -262,18 +275,27 @@ def star_parts(met: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
 def block_pairs(met: DataFrame, texts: DataFrame) -> DataFrame:
     """band, low, high, node, __text: the sets of every key of met (node, band, label) that are not all linked, in pairs of blocks.
 
-    Keys with the same sets are searched once. Sets of the largest linked class
-    have blocks of their own, which don't meet each other.
+    Keys with the same sets are searched once. If met has the root of each set's
+    candidate group, all sets of a group's open keys are dealt together, by the
+    root for a key, unless its keys make fewer rows one by one. Sets of the
+    largest linked class have blocks of their own, which don't meet each other.
     """
+    met = met if "root" in met.columns else met.withColumn("root", F.col("band"))
     same = [F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")]
-    spread = met.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), *same)
-    mixed = spread.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("band").alias("band"))
-    classes = met.groupBy("band", "label").agg(F.count("*").alias("m")).groupBy("band").agg(F.max(F.struct("m", "label")).alias("top"))
-    plan = mixed.join(classes, "band").select("band", "n", F.col("top.m").alias("m"), F.col("top.label").alias("bulk"))
+    spread = met.groupBy("root", "band").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), *same)
+    mixed = spread.where("lo <> hi").groupBy("root", "n", "x", "y").agg(F.min("band").alias("band"))
+    by_key = met.join(mixed.select("root", "band"), ["root", "band"]).select("root", "band", "node", "label", F.lit(False).alias("together"))
+    by_group = by_key.select("root", F.col("root").alias("band"), "node", "label", F.lit(True).alias("together")).distinct()
+    dealt, key = cut_lineage(by_key.unionByName(by_group)), ["root", "together", "band"]
+    classes = dealt.groupBy(*key, "label").agg(F.count("*").alias("m"))
+    sizes = classes.groupBy(*key).agg(F.sum("m").alias("n"), F.max(F.struct("m", "label")).alias("top")).select(*key, "n", F.col("top.m").alias("m"), F.col("top.label").alias("bulk"))
     one, half = F.col("n") <= GROUP_SETS, max(1, GROUP_SETS // 2)
     few = F.when(one, F.lit(1)).otherwise(_parts(F.col("n") - F.col("m"), half))
     many = F.when(one, F.lit(0)).otherwise(_parts(F.col("m"), half))
-    rows = met.join(plan.select("band", "bulk", few.alias("few"), many.alias("many")), "band")
+    plan = sizes.withColumns({"few": few, "many": many})
+    made = F.when(F.col("many") == 0, F.col("n") * F.col("few")).otherwise(F.col("n") * F.col("few") + (F.col("n") - F.col("m")) * F.col("many"))
+    least = plan.groupBy("root", "together").agg(F.sum(made).alias("made")).groupBy("root").agg(F.min(F.struct("made", "together")).alias("least")).select("root", "least.together")
+    rows = dealt.join(plan.join(least, ["root", "together"]).select(*key, "bulk", "few", "many"), key)
     at_bulk = (F.col("label") == F.col("bulk")) & (F.col("many") > 0)
     deal = F.xxhash64("node")
     block = F.when(at_bulk, F.col("few") + F.pmod(deal, F.greatest("many", F.lit(1)))).otherwise(F.pmod(deal, F.col("few")))
@@ -284,14 +306,14 @@ def block_pairs(met: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def split_groups(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """__node and __group of the sets of texts (node, __text) that are linked by pairs that share a key of keys (node, band)."""
+    """__node and __group of the sets of texts (node, __text) that are linked by pairs that share a key of keys (node, band, and root for block_pairs)."""
     links, met = None, keys.withColumn("label", F.col("node"))
     for turn in range(ROUNDS + 1):
         parts = star_parts(met, texts, turn) if turn < ROUNDS else block_pairs(met, texts)
         new = stored(searched(parts, ["head", "part"] if turn < ROUNDS else ["band", "low", "high"]).where("__node <> __group").distinct())
         links = new if links is None else links.unionByName(new)
         labels = components(links.select(F.col("__node").alias("a"), F.col("__group").alias("b"))).select("node", F.col("root").alias("label"))
-        met = cut_lineage(keys.join(labels, "node", "left").select("node", "band", F.coalesce("label", "node").alias("label"))) if turn < ROUNDS else met
+        met = cut_lineage(keys.join(labels, "node", "left").select(*keys.columns, F.coalesce("label", "node").alias("label"))) if turn < ROUNDS else met
     return labels.select(F.col("node").alias("__node"), F.col("label").alias("__group"))
 
 
@@ -313,7 +335,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         verified = searched(groups, ["root"])
     else:
         groups = stored(groups)
-        keys = met.join(sources.where("large").select("node"), "node").select("node", "band")
+        keys = met.join(sources.where("large").select("node", "root"), "node").select("node", "band", "root")
         split = split_groups(groups.where("large").select("node", "__text").dropDuplicates(["node"]), stored(keys))
         verified = searched(groups.where("not large"), ["root"]).unionByName(split)
     grouped = nodes.join(verified, F.col("node") == F.col("__node"), "left").groupBy(F.coalesce("__group", "node").alias("__group"))

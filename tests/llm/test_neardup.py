@@ -134,3 +134,46 @@ def test_the_stage_takes_candidates_by_ball_hashing(spark):
     far = [(a, b) for a, b in combinations(range(len(texts)), 2) if not sets[a] & sets[b]]
     assert len(near) > 100 and all(tuple(sorted((node[a], node[b]))) in together for a, b in near)
     assert not any(tuple(sorted((node[a], node[b]))) in together for a, b in far)
+
+
+def test_pairs_far_below_the_least_similarity_are_not_linked(spark):
+    r = random.Random(4)
+    words = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(150):  # at similarities of 0.25 to 0.45 with one another
+        own = list(words)
+        for at in range(12):
+            own[16 * at + r.randrange(16)] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(own))
+    near = near_texts(13, 20)
+    rows = [(k, t) for k, t in enumerate(texts + near)]
+    found = neardup.prints(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    key_of = {x.node: x.key for x in found.collect()}
+    met = {}
+    for x in neardup.ball_keys(found).collect():
+        met.setdefault(x.band, []).append(key_of[x.node])
+    sets = [plain_shingles(t) for t in texts + near]
+    together = {pair for nodes in met.values() for pair in combinations(sorted(nodes), 2)}
+    alike = {(a, b) for a, b in combinations(range(len(sets)), 2) if sets[a] != sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(alike) > 50 and alike <= together
+    assert not [(a, b) for a, b in together if a < 150]
+
+
+def test_overlapping_keys_of_a_group_are_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP_SETS", 10)
+    r = random.Random(2)
+    rows = [(k, 7, band, 0 if k < 40 else k) for band in range(30) for k in range(60) if r.random() < 0.6]
+    rows += [(k, 8, 100 + k // 3, k) for k in range(100, 160)]  # small keys, which are dealt one by one
+    met = spark.createDataFrame(rows, "node long, root long, band long, label long")
+    texts = spark.range(200).selectExpr("id node", "'' __text")
+    dealt = neardup.block_pairs(met, texts).collect()
+    tasks = {}
+    for x in dealt:
+        tasks.setdefault((x.band, x.low, x.high), set()).add(x.node)
+    meet = {pair for t in tasks.values() for pair in combinations(sorted(t), 2)}
+    bands = {}
+    for node, _, band, label in rows:
+        bands.setdefault(band, {})[node] = label
+    want = {(a, b) for b_ in bands.values() for a, b in combinations(sorted(b_), 2) if b_[a] != b_[b]}
+    assert want <= meet
+    assert len(dealt) <= 40 * 4 + 20 * 12 + 60  # 30 keys one by one make ten times as many
